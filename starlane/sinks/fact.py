@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from starlane.functions.dates import batch_day
+
 
 def _by_day(fact: DataFrame, one_day: bool) -> DataFrame:
     # Many days at once: bring each day together, so that not every task writes
@@ -23,3 +25,9 @@ def replace_days(fact: DataFrame, path: str, one_day: bool = False) -> None:
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("batch_date").parquet(path)
     )
+
+
+def replace_day(fact: DataFrame, path: str, ds: str) -> None:
+    """Replace one day as a whole, also by nothing."""
+    day = f"{path}/batch_date={batch_day(ds)}"
+    fact.drop("batch_date").write.mode("overwrite").parquet(day)
