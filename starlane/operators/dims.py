@@ -66,7 +66,7 @@ def _calendar_of(bounds: DataFrame) -> DataFrame:
 def calendar(spark: SparkSession, first: str, last: str) -> DataFrame:
     """Every day from ``first`` to ``last``, both included."""
     return _calendar_of(
-        spark.range(1).select(
+        spark.range(0, 1, 1, 1).select(
             F.lit(first).cast("date").alias("first"), F.lit(last).cast("date").alias("last")
         )
     )

@@ -1,7 +1,9 @@
 """Natural keys to surrogate keys.
 
-No lookup hints a broadcast: the planner broadcasts a dimension whose size it
-knows to be small and shuffles any other, splitting hot keys at run time.
+Dimensions are stored tables, so the planner knows their size: it broadcasts one
+under its threshold and shuffles any other. A shuffled lookup reads both sides
+straight from their exchanges, which lets adaptive execution split the partition
+of a hot natural key over many tasks.
 """
 
 from __future__ import annotations

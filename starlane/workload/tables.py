@@ -22,10 +22,25 @@ DAY_1, DAY_2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 EARLY_1, EARLY_2 = "1998-01-01 00:00:00", "2000-01-01 00:00:00"
 
 _paths: dict[tuple[str, str, str, str], str] = {}
+_schemas: dict[tuple[str, str], T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A test table; its footer is read for the schema only the first time."""
+    path = f"{sf_dir}/{name}.parquet"
+    if (sf_dir, name) not in _schemas:
+        _schemas[sf_dir, name] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[sf_dir, name]).parquet(path)
+
+
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows of a table stored in too few splits to occupy the cores, dealt out by ``columns``.
+
+    A table of many splits, as any large one is, stays where it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    few = rows.rdd.getNumPartitions() < 2 * cores
+    return rows.repartition(cores, *columns) if few else rows
 
 
 def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
@@ -58,7 +73,7 @@ def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("dropoff_location")
     )
     lines = (
-        read("lineitem")
+        spread(read("lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
