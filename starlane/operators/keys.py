@@ -31,7 +31,7 @@ def assign_keys(
     ``after`` is a table already holding keys in column ``key``; numbering
     continues behind its greatest one.
     """
-    digest = F.md5(natural)
+    digest = F.md5(F.coalesce(natural, F.lit("")))
     tagged = rows.select(
         "*",
         natural.alias("_natural"),

@@ -35,6 +35,11 @@ def latest_per_key(
     return picked.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
+def _latest(batch: DataFrame) -> DataFrame:
+    """The batch as far as it can enter the dimension: ids are NOT NULL there."""
+    return latest_per_key(batch.filter(F.col(KEY).isNotNull()))
+
+
 def _new(name: str) -> Column:
     return F.col(f"_new_{name}")
 
@@ -65,7 +70,7 @@ def changed_customers(dim: DataFrame, batch: DataFrame, null_safe: bool = True)
     """Current versions whose attributes the batch changes, with old and new values."""
     return (
         dim.filter("is_current")
-        .join(_incoming(latest_per_key(batch)), KEY)
+        .join(_incoming(_latest(batch)), KEY)
         .filter(_change(null_safe))
         .select(
             "customer_key", KEY, *CUSTOMER_ATTRIBUTES,
@@ -79,7 +84,7 @@ def close(dim: DataFrame, batch: DataFrame, at: str, null_safe: bool = True) ->
     hit = F.coalesce(F.col("_arrived") & _change(null_safe), F.lit(False))
     current = (
         dim.filter("is_current")
-        .join(_incoming(latest_per_key(batch)), KEY, "left")
+        .join(_incoming(_latest(batch)), KEY, "left")
         .withColumns({
             "end_date": F.when(hit, ntz(at)).otherwise(F.col("end_date")),
             "is_current": ~hit,
@@ -94,13 +99,13 @@ def _with_keys(opened: DataFrame, dim: DataFrame) -> DataFrame:
 
 def insert_all(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
     """Open a version for every batch row, whether or not it changes anything."""
-    opened = _opened(latest_per_key(batch), at)
+    opened = _opened(_latest(batch), at)
     return dim.select(COLUMNS).unionByName(_with_keys(opened, dim))
 
 
 def insert_changed(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
     """Open a version for new customers and for those without an equal current version."""
-    latest = latest_per_key(batch)
+    latest = _latest(batch)
     current = dim.filter("is_current").select(KEY, *CUSTOMER_ATTRIBUTES).alias("c")
     same = [F.col(f"b.{KEY}") == F.col(f"c.{KEY}")]
     same += [F.col(f"b.{a}").eqNullSafe(F.col(f"c.{a}")) for a in CUSTOMER_ATTRIBUTES]
@@ -110,56 +115,47 @@ def insert_changed(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
 
 def initial(batch: DataFrame, at: str) -> DataFrame:
     """The first load: every customer of the batch as a current version."""
-    opened = _opened(latest_per_key(batch), at)
+    opened = _opened(_latest(batch), at)
     return assign_keys(opened, F.col(KEY), "customer_key").select(COLUMNS)
 
 
-def match(dim: DataFrame, batch: DataFrame) -> DataFrame:
-    """Current versions and batch rows side by side, with the class of each customer.
+def changes(dim: DataFrame, batch: DataFrame) -> DataFrame:
+    """The batch rows that open a version, beside the current version they end, if any.
 
-    One row per customer: both sides are unique in their key. Classes are
-    ``new``, ``changed``, ``unchanged`` and ``absent`` (kept, not deleted).
+    Both sides hold a customer once, so no key is hot.
     """
-    status = (
-        F.when(F.col("customer_key").isNull(), "new")
-        .when(F.col("_arrived").isNull(), "absent")
-        .when(_change(null_safe=True), "changed")
-        .otherwise("unchanged")
-    )
+    current = dim.filter("is_current").select(COLUMNS)
     return (
-        dim.filter("is_current")
-        .join(_incoming(latest_per_key(batch)), KEY, "full")
-        .withColumn("status", status)
+        _incoming(_latest(batch))
+        .join(current, KEY, "left")
+        .filter(F.col("customer_key").isNull() | _change(null_safe=True))
     )
 
 
-def closed_by(matched: DataFrame, at: str) -> DataFrame:
-    """The versions a matched batch ends."""
+def closed_by(changed_rows: DataFrame, at: str) -> DataFrame:
+    """The versions ended by ``changes``."""
     return (
-        matched.filter("status = 'changed'")
+        changed_rows.filter("customer_key IS NOT NULL")
         .withColumns({"end_date": ntz(at), "is_current": F.lit(False)})
         .select(COLUMNS)
     )
 
 
-def current_after(matched: DataFrame, at: str) -> DataFrame:
-    """The current versions after a matched batch: those kept and those opened."""
-    kept = matched.filter("status IN ('unchanged', 'absent')").select(COLUMNS)
-    fresh = matched.filter("status IN ('new', 'changed')").select(
-        KEY, *[_new(a).alias(a) for a in CUSTOMER_ATTRIBUTES]
-    )
-    return kept.unionByName(_with_keys(_opened(fresh, at), matched))
+def opened_by(changed_rows: DataFrame, dim: DataFrame, at: str) -> DataFrame:
+    """The versions opened by ``changes``, numbered behind the keys of ``dim``."""
+    fresh = changed_rows.select(KEY, *[_new(a).alias(a) for a in CUSTOMER_ATTRIBUTES])
+    return _with_keys(_opened(fresh, at), dim)
 
 
-def apply(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
-    """Close and insert one batch at one point in time; applying it again changes nothing.
+def kept_by(changed_rows: DataFrame, current: DataFrame) -> DataFrame:
+    """The current versions that ``changes`` leaves alone, those absent from the batch included."""
+    ended = changed_rows.select("customer_key").filter("customer_key IS NOT NULL")
+    return current.join(ended, "customer_key", "left_anti").select(COLUMNS)
 
-    Keys continue behind the greatest current one. That is the greatest of all:
-    a version is closed only where another, with a higher key, is opened.
-    """
-    matched = match(dim, batch)
-    history = dim.filter("NOT is_current").select(COLUMNS)
-    return history.unionByName(closed_by(matched, at)).unionByName(current_after(matched, at))
+
+def apply(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
+    """Close and insert one batch at one point in time; applying it again changes nothing."""
+    return close(dim, batch, at).unionByName(opened_by(changes(dim, batch), dim, at))
 
 
 def apply_literal(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
@@ -168,7 +164,15 @@ def apply_literal(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
 
 
 def change_summary(dim: DataFrame, batch: DataFrame) -> DataFrame:
-    return match(dim, batch).groupBy("status").agg(F.count(F.lit(1)).alias("customers"))
+    """Customers per class: new, changed, unchanged, or absent from the batch (and kept)."""
+    status = (
+        F.when(F.col("customer_key").isNull(), "new")
+        .when(F.col("_arrived").isNull(), "absent")
+        .when(_change(null_safe=True), "changed")
+        .otherwise("unchanged")
+    )
+    matched = dim.filter("is_current").join(_incoming(_latest(batch)), KEY, "full")
+    return matched.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("customers"))
 
 
 def history(snapshots: DataFrame, order: Sequence[str] = ()) -> DataFrame:

@@ -114,16 +114,16 @@ def run_customers(house: Warehouse, ds: str, batch: DataFrame) -> None:
     """Close and insert one customer file on top of the day before."""
     at = f"{batch_day(ds)} 00:00:00"
     before = house.current_customers(house.day_before(ds))
-    # Read three times below, so stored once, where a lost executor cannot take it.
-    staged = fresh_path(house.spark, "matched")
-    scd2.match(before, batch).write.parquet(staged)
-    matched = house.spark.read.parquet(staged)
-    replace_table(
-        scd2.closed_by(matched, at), house.path(f"customer_closed/closed_batch={ds}"), CUSTOMER_DIM
-    )
-    replace_table(
-        scd2.current_after(matched, at), house.path(f"customer_current/as_of={ds}"), CUSTOMER_DIM
-    )
+    # Stored, because three tables follow from it, and small beside the snapshot,
+    # so the snapshot usually keeps its place in the join that removes what ended.
+    staged = fresh_path(house.spark, "changes")
+    scd2.changes(before, batch).write.parquet(staged)
+    changed = house.spark.read.parquet(staged)
+    closed = house.path(f"customer_closed/closed_batch={ds}")
+    replace_table(scd2.closed_by(changed, at), closed, CUSTOMER_DIM)
+    # The greatest key is a current one: a version ends only where a later key opens.
+    current = scd2.kept_by(changed, before).unionByName(scd2.opened_by(changed, before, at))
+    replace_table(current, house.path(f"customer_current/as_of={ds}"), CUSTOMER_DIM)
 
 
 def run_fact(house: Warehouse, ds: str, rentals: DataFrame, customer: str = "current") -> None:

@@ -34,3 +34,8 @@ def test_numbering_after_an_empty_table_starts_at_one(spark):
     frame = spark.createDataFrame([("x", 1)], "n string, y int")
     empty = spark.createDataFrame([], "key long")
     assert assign_keys(frame, natural_key("n", "y"), "key", after=empty).first().key == 1
+
+
+def test_a_missing_natural_key_is_still_numbered(spark):
+    frame = spark.createDataFrame([("x",), (None,)], "n string")
+    assert sorted(r.key for r in assign_keys(frame, F.col("n"), "key").collect()) == [1, 2]

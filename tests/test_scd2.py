@@ -65,6 +65,12 @@ def test_duplicate_batch_rows_give_one_version(spark):
     assert scd2.latest_per_key(ordered, ["seq"]).first().email == "1"
 
 
+def test_rows_without_an_id_open_nothing(spark):
+    first = scd2.initial(batch(spark, [("a", "n", None, None), (None, "n", None, None)]), D1)
+    assert [r.customer_id for r in first.collect()] == ["a"]
+    assert scd2.apply(first, batch(spark, [(None, "m", None, None)]), D2).count() == 1
+
+
 def test_close_then_insert_changed_equals_apply(spark, rows):
     first = scd2.initial(sample(spark, "20250903"), D1)
     new = sample(spark, "20250904")
