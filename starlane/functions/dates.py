@@ -23,9 +23,14 @@ def date_key(day: Column) -> Column:
     return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
 
 
+def yyyymmdd(day: Column) -> Column:
+    """A DATE or time-zone-free timestamp as 'yyyymmdd' text."""
+    return F.replace(day.cast("date").cast("string"), F.lit("-"), F.lit(""))
+
+
 def run_date(param: Column, scheduled: Column) -> Column:
     """The run date of a batch: the parameter unless it is 'NA', else the schedule day."""
-    return F.when(param != NOT_GIVEN, param).otherwise(F.date_format(scheduled, "yyyyMMdd"))
+    return F.when(param != NOT_GIVEN, param).otherwise(yyyymmdd(scheduled))
 
 
 def resolve_run_date(param: str, scheduled: str) -> str:

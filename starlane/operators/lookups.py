@@ -66,6 +66,8 @@ def customer_as_of(
     at most one row per calendar day and version, so neither a customer with
     very many rentals nor one with many versions makes pairs or a huge group.
 
+    ``rentals`` is read twice, so a stored table serves best.
+
     With ``first_version_open`` a customer's first version also covers the time
     before it began. Where versions overlap the latest one wins.
     """

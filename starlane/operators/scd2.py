@@ -19,6 +19,8 @@ from starlane.schemas import CUSTOMER_ATTRIBUTES, CUSTOMER_DIM
 
 KEY = "customer_id"
 COLUMNS = CUSTOMER_DIM.fieldNames()
+# Equal rows of a batch are written out again in runs of at most this many.
+RUN = 100_000
 
 
 def latest_per_key(
@@ -56,10 +58,10 @@ def _change(null_safe: bool) -> Column:
     return test((F.col(a), _new(a)) for a in CUSTOMER_ATTRIBUTES)
 
 
-def _opened(rows: DataFrame, at: str) -> DataFrame:
-    """Customer rows as current versions without a key."""
+def _opened(rows: DataFrame, at: str, *others: str) -> DataFrame:
+    """Customer rows as current versions, without a key unless it is among ``others``."""
     return rows.select(
-        KEY, *CUSTOMER_ATTRIBUTES,
+        *others, KEY, *CUSTOMER_ATTRIBUTES,
         ntz(at).alias("effective_date"),
         F.lit(None).cast("timestamp_ntz").alias("end_date"),
         F.lit(True).alias("is_current"),
@@ -90,17 +92,39 @@ def close(dim: DataFrame, batch: DataFrame, at: str, null_safe: bool = True) ->
             "is_current": ~hit,
         })
     )
-    return current.select(COLUMNS).unionByName(dim.filter("NOT is_current").select(COLUMNS))
+    return current.select(COLUMNS).unionByName(dim.filter("is_current IS NOT TRUE").select(COLUMNS))
 
 
 def _with_keys(opened: DataFrame, dim: DataFrame) -> DataFrame:
     return assign_keys(opened, F.col(KEY), "customer_key", after=dim).select(COLUMNS)
 
 
+def _numbered_copies(batch: DataFrame) -> DataFrame:
+    """Every row of the batch, equal ones told apart by ``_copy``.
+
+    Equal rows are counted before the shuffle and written out again in runs,
+    spread by run, so that a row repeated very often stays in no one task.
+    """
+    columns = [KEY, *CUSTOMER_ATTRIBUTES]
+    counted = batch.filter(F.col(KEY).isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    last_run = F.floor((F.col("_n") - 1) / RUN)
+    runs = counted.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), last_run)))
+    first = F.col("_run") * RUN + 1
+    last = F.least(F.col("_n"), first + RUN - 1)
+    return runs.repartition(*columns, "_run").select(
+        *columns, F.explode(F.sequence(first, last)).alias("_copy")
+    )
+
+
 def insert_all(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
-    """Open a version for every batch row, whether or not it changes anything."""
-    opened = _opened(_latest(batch), at)
-    return dim.select(COLUMNS).unionByName(_with_keys(opened, dim))
+    """Open a version for every batch row, repeated rows too, whether or not it changes anything."""
+    copies = _numbered_copies(batch)
+    parts = [F.coalesce(F.col(a), F.lit("~")) for a in CUSTOMER_ATTRIBUTES]
+    natural = F.concat_ws("|", F.col(KEY), *parts, F.col("_copy").cast("string"))
+    keyed = assign_keys(
+        copies.select("*", natural.alias("_row")), F.col("_row"), "customer_key", after=dim
+    )
+    return dim.select(COLUMNS).unionByName(_opened(keyed, at, "customer_key").select(COLUMNS))
 
 
 def insert_changed(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:

@@ -23,8 +23,8 @@ def truncate_table(spark: SparkSession, path: str) -> None:
 
 
 def replace_table(df: DataFrame, path: str, schema: T.StructType) -> None:
-    """Overwrite ``path`` with files of even size; ``df`` must not read from it."""
-    conform(df, schema).hint("rebalance").write.mode("overwrite").parquet(path)
+    """Overwrite ``path``; ``df`` must not read from it."""
+    conform(df, schema).write.mode("overwrite").parquet(path)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

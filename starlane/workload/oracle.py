@@ -93,8 +93,9 @@ batch_2 AS (
 VERSION = "customer_key, customer_id, name, email, phone, effective_date, end_date, is_current"
 NULL_SAFE = " OR ".join(f"d.{a} IS DISTINCT FROM b.{a}" for a in ("name", "email", "phone"))
 NULL_UNSAFE = " OR ".join(f"d.{a} <> b.{a}" for a in ("name", "email", "phone"))
-NEXT_KEY = """(SELECT max(customer_key) FROM dim_1)
-         + row_number() OVER (ORDER BY md5(customer_id), customer_id)"""
+BY_ID = "customer_id"
+BY_ROW = """customer_id || '|' || COALESCE(name, '~') || '|' || COALESCE(email, '~')
+         || '|' || COALESCE(phone, '~') || '|1'"""
 
 
 def _dim_1(day: str) -> str:
@@ -118,10 +119,11 @@ closed AS (
 )"""
 
 
-def _opened(day: str, where: str) -> str:
+def _opened(day: str, where: str, natural: str = BY_ID) -> str:
     return f"""
 opened AS (
-  SELECT {NEXT_KEY} AS customer_key, customer_id, name, email, phone,
+  SELECT (SELECT max(customer_key) FROM dim_1)
+         + row_number() OVER (ORDER BY md5({natural}), {natural}) AS customer_key, customer_id, name, email, phone,
          TIMESTAMP '{day}' AS effective_date, CAST(NULL AS TIMESTAMP) AS end_date, TRUE AS is_current
   FROM batch_2 WHERE {where}
 )"""
@@ -140,7 +142,7 @@ def _documented(first: str, second: str) -> str:
 
 DOCUMENTED = _documented(DAY_1, DAY_2)
 EARLY = _documented("1998-01-01 00:00:00", "2000-01-01 00:00:00")
-LITERAL = ",".join((_dim_1(DAY_1), _closed(DAY_2, NULL_UNSAFE), _opened(DAY_2, "TRUE"), BOTH))
+LITERAL = ",".join((_dim_1(DAY_1), _closed(DAY_2, NULL_UNSAFE), _opened(DAY_2, "TRUE", BY_ROW), BOTH))
 DAY_1_ONLY = f"{_dim_1(DAY_1)}, customer_dim AS (SELECT * FROM dim_1)"
 
 WITH_CAR = f"{MEASURED},{CAR_DIM}"

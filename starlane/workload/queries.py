@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlane.functions.dates import NOT_GIVEN, days_between, iso_date, run_date
+from starlane.functions.dates import NOT_GIVEN, days_between, iso_date, run_date, yyyymmdd
 from starlane.functions.measures import average_daily_amount, is_long, total_amount
 from starlane.operators import checks, dims, kpis, lookups, rentals as R, scd2
 from starlane.operators.keys import assign_keys
@@ -65,7 +65,7 @@ def src_batch_slice(spark, sf):
 
 @query
 def src_batch_date_default(spark, sf):
-    given = F.date_format(F.date_add(F.col("o_orderdate").cast("date"), 1), "yyyyMMdd")
+    given = yyyymmdd(F.date_add(F.col("o_orderdate").cast("date"), 1))
     param = F.when(F.col("o_orderkey") % 3 == 0, F.lit(NOT_GIVEN)).otherwise(given)
     runs = t.table(spark, sf, "orders").select(run_date(param, F.col("o_orderdate")).alias("run_date"))
     return runs.groupBy("run_date").agg(F.count(F.lit(1)).alias("runs"))

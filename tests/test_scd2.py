@@ -48,6 +48,15 @@ def test_two_days_literal(spark):
     assert rules == {"many_current": 2, "overlap": 2, "flag_mismatch": 0, "repeated_start": 0}
 
 
+def test_literal_insert_keeps_every_row(spark, monkeypatch):
+    monkeypatch.setattr(scd2, "RUN", 4)
+    repeated = [("a", "n", None, None)] * 11 + [("a", "n", "e", None)] * 4 + [("b", None, None, "p")]
+    first = scd2.insert_all(spark.createDataFrame([], CUSTOMER_DIM), batch(spark, repeated), D1)
+    got = [tuple(r)[1:5] for r in first.collect()]
+    assert sorted(got, key=repr) == sorted(repeated, key=repr)
+    assert sorted(r.customer_key for r in first.collect()) == list(range(1, 17))
+
+
 def test_null_transitions(spark):
     old = scd2.initial(batch(spark, [("a", "n", None, "1"), ("b", "n", "e", "1"), ("c", "n", None, None)]), D1)
     new = batch(spark, [("a", "n", "e", "1"), ("b", "n", None, "1"), ("c", "n", None, None)])
