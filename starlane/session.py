@@ -13,6 +13,10 @@ from pyspark.sql import SparkSession
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split from the size a task should have, not from four times that, and also
+    # where few partitions make a third of all rows only a few medians large.
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
@@ -27,6 +31,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
+        # Call sites of columns are worth four round trips to the JVM each only in debugging.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for name, value in {**ADAPTIVE, **extra}.items():
         builder = builder.config(name, value)

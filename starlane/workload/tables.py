@@ -39,7 +39,7 @@ def spread(rows: DataFrame, *columns: str) -> DataFrame:
     A table of many splits, as any large one is, stays where it is.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    few = rows.rdd.getNumPartitions() < 2 * cores
+    few = rows.rdd.getNumPartitions() < cores
     return rows.repartition(cores, *columns) if few else rows
 
 
