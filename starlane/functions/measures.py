@@ -15,8 +15,11 @@ def money(value: Column) -> Column:
 
 
 def round_cents(value: Column) -> Column:
-    """Half-up on the decimal digits; equal in every engine."""
-    return F.round(value.cast("decimal(28,6)"), 2).cast("double")
+    """Half-up on the decimal digits; equal in every engine.
+
+    A value too great for the decimal type has no cents and stays as it is.
+    """
+    return F.coalesce(F.round(value.try_cast("decimal(28,6)"), 2).cast("double"), value)
 
 
 def total_amount(amount: Column, quantity: Column) -> Column:

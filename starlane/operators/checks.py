@@ -26,7 +26,10 @@ def _text(value: Column, kind: T.DataType) -> Column:
 
 
 def profile(name: str, table: DataFrame) -> DataFrame:
-    """Rows, NULLs, values not above zero, least and greatest value of each column, in one pass."""
+    """Rows, NULLs, values not above zero, least and greatest value of each column, in one pass.
+
+    The extremes are text; those of a double are given to the cent.
+    """
     fields = table.schema.fields
     aggregates = [F.count(F.lit(1)).alias("rows")]
     for i, field in enumerate(fields):

@@ -103,9 +103,12 @@ def bootstrap(
 ) -> Warehouse:
     """Create all tables anew, the fixed dimensions from the seeds unless given."""
     house = Warehouse(use_adaptive(spark), root)
-    replace_table(locations or dims.seed_locations(spark), house.path("location_dim"), LOCATION_DIM)
-    replace_table(cars or dims.seed_cars(spark), house.path("car_dim"), CAR_DIM)
-    replace_table(dates or dims.seed_dates(spark), house.path("date_dim"), DATE_DIM)
+    for name, schema, given, seed in (
+        ("location_dim", LOCATION_DIM, locations, dims.seed_locations),
+        ("car_dim", CAR_DIM, cars, dims.seed_cars),
+        ("date_dim", DATE_DIM, dates, dims.seed_dates),
+    ):
+        replace_table(seed(spark) if given is None else given, house.path(name), schema)
     create_table(spark, house.path("commits"), COMMIT)
     return house
 

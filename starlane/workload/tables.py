@@ -137,6 +137,10 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The two customer files: each misses some customers of the other, so that there are
+# new and absent ones; together they hold the whole table.
+
+
 def batch_1(spark: SparkSession, sf_dir: str) -> DataFrame:
     email = F.when(F.col("c_custkey") % 13 != 0, F.col("email"))
     return (

@@ -66,6 +66,13 @@ def test_half_cents_round_up(spark):
     assert found == {"0": 0.01, "1": 0.02, "2": 1.01, "3": -0.01}
 
 
+def test_amounts_beyond_decimals_do_not_fail_the_job(spark):
+    rows = [one("huge", amount=1e300, quantity=1), one("nan", amount=float("nan"), quantity=1)]
+    found = {r.rental_id: r.average_daily_rental_amount
+             for r in R.measured(spark.createDataFrame(rows, RENTAL)).collect()}
+    assert found["huge"] == 1e300 / 4 and found["nan"] != found["nan"]
+
+
 def test_run_date_rule(spark):
     assert resolve_run_date("NA", "2025-09-03") == "20250903"
     assert resolve_run_date("20250101", "2025-09-03") == "20250101"
