@@ -1,7 +1,7 @@
 """Licence scan: text segments against licence templates by Dice over word bigrams.
 
-Segments are a document's lines, its paragraphs (between empty lines) and the whole
-document. A segment is normalised to lower-case words of letters and digits; its
+Segments are a document's lines, its paragraphs (between lines without letters or
+digits) and the whole document. A segment is normalised to lower-case words of letters and digits; its
 bigrams are a set. With ``A`` and ``B`` the bigram sets of segment and template, their
 score is ``2 |A & B| / (|A| + |B|)``.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,13 +101,18 @@ def bigrams(text: str) -> list[str]:
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(found, found[1:], strict=False)))
 
 
+def head(anchor: str) -> str:
+    """The word of a bigram to look for first."""
+    return max(anchor.split(" "), key=lambda w: (len(w), w))
+
+
 def size_bounds(size: int, threshold: float) -> tuple[int, int]:
     """Sizes that a set may have to reach the threshold with one of ``size``."""
     slack = 1e-9
     return math.ceil(threshold / (2 - threshold) * size - slack), math.floor((2 - threshold) / threshold * size + slack)
 
 
-def anchors(found: list[str], often: dict[str, int], threshold: float) -> list[str]:
+def anchors(found: list[str], often: Counter[str], threshold: float) -> list[str]:
     """Bigrams of which every set within reach of the template holds at least one."""
     missing = len(found) - size_bounds(len(found), threshold)[0]
     return sorted(found, key=lambda b: (often[b], -len(b), b))[: missing + 1]
@@ -119,10 +125,7 @@ def template_table(spark: SparkSession, templates: dict[str, str], threshold: fl
     sets = {name: found for name, text in templates.items() if (found := bigrams(text))}
     if not sets:
         raise ValueError("no template holds a word bigram")
-    often: dict[str, int] = {}
-    for found in sets.values():
-        for b in found:
-            often[b] = often.get(b, 0) + 1
+    often = Counter(b for found in sets.values() for b in found)
     rows = []
     for name, found in sets.items():
         low, high = size_bounds(len(found), threshold)
@@ -136,7 +139,12 @@ def template_table(spark: SparkSession, templates: dict[str, str], threshold: fl
 
 
 def _normalised(text: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{Nd}\p{Nl}\p{No}]+", " "))
+    """Lower-case words with single spaces between; line ends stay."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\n]+", " ")
+
+
+def _words(norm: Column) -> Column:
+    return F.split(F.translate(norm, "\n", " "), " +")
 
 
 def _pairs(found: Column) -> Column:
@@ -145,22 +153,25 @@ def _pairs(found: Column) -> Column:
     return F.zip_with(F.slice(found, F.lit(1), n), F.slice(found, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``doc_id, kind, number, norm`` of all segments."""
-    text = F.col(text_col)
-    lines = F.transform(F.split(text, "\n"), lambda s, i: F.struct(F.lit("line").alias("kind"), i.alias("number"), s.alias("part")))
-    blocks = F.transform(
-        F.split(text, r"\n[ \t\r]*\n"),
-        lambda s, i: F.struct(F.lit("paragraph").alias("kind"), i.alias("number"), s.alias("part")),
-    )
-    whole = F.array(F.struct(F.lit("document").alias("kind"), F.lit(0).alias("number"), text.alias("part")))
+def _segments(docs: DataFrame, heads: list[str], id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, kind, number, words`` of segments that hold one of the words ``heads``."""
+    def parts(kind: str, found: Column) -> Column:
+        return F.transform(found, lambda s, i: F.struct(F.lit(kind).alias("kind"), i.alias("number"), s.alias("part")))
+
+    def met(found: Column) -> Column:
+        return F.exists(found, lambda w: w.isin(heads))
+
+    empty = r"(?: ?\n)(?: ?\n)+"
+    norm = F.col("norm")
     # A paragraph or document is another segment only if it spans several lines or paragraphs.
-    blocks = F.filter(blocks, lambda s: F.instr(s["part"], "\n") > 0)
-    whole = F.when(text.rlike(r"\n[ \t\r]*\n"), whole).otherwise(F.array().cast("array<struct<kind:string,number:int,part:string>>"))
+    blocks = F.filter(parts("paragraph", F.split(norm, empty)), lambda s: F.instr(s["part"], "\n") > 0)
+    whole = F.filter(parts("document", F.array(norm)), lambda s: s["part"].rlike(empty))
     return (
-        docs.filter(text.isNotNull())
-        .select(F.col(id_col).alias("doc_id"), F.inline(F.concat(lines, blocks, whole)))
-        .select("doc_id", "kind", "number", _normalised(F.col("part")).alias("norm"))
+        docs.filter(met(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")))
+        .select(F.col(id_col).alias("doc_id"), _normalised(F.col(text_col)).alias("norm"))
+        .select("doc_id", F.inline(F.concat(parts("line", F.split(norm, "\n")), blocks, whole)))
+        .select("doc_id", "kind", "number", F.filter(_words(F.col("part")), lambda w: w != "").alias("words"))
+        .filter(met(F.col("words")))
     )
 
 
@@ -178,23 +189,25 @@ def scan(
     table = template_table(docs.sparkSession, templates, threshold)
     bounds = [size_bounds(n, threshold) for t in templates.values() if (n := len(bigrams(t)))]
     least, most = min(low for low, _ in bounds), max(high for _, high in bounds)
+    often = Counter(b for t in templates.values() for b in bigrams(t))
+    heads = sorted({head(a) for t in templates.values() for a in anchors(bigrams(t), often, threshold)})
     marks = table.select("template", "low", "high", F.explode("anchors").alias("anchor")).select(
         "template", "low", "high", F.xxhash64("anchor").alias("mark")
     )
     met = (
-        _segments(docs, id_col, text_col)
-        .withColumn("set", F.array_distinct(F.transform(_pairs(F.split("norm", " ")), lambda b: F.xxhash64(b))))
+        _segments(docs, heads, id_col, text_col)
+        .withColumn("set", F.array_distinct(F.transform(_pairs(F.col("words")), lambda b: F.xxhash64(b))))
         .filter(F.size("set").between(least, most))
-        .select("doc_id", "kind", "number", "norm", F.size("set").alias("n"), F.explode("set").alias("mark"))
+        .select("doc_id", "kind", "number", "words", F.size("set").alias("n"), F.explode("set").alias("mark"))
         .join(F.broadcast(marks), "mark")
         .filter("n between low and high")
-        .select("doc_id", "kind", "number", "norm", "template").distinct()
+        .select("doc_id", "kind", "number", "words", "template").distinct()
     )
-    mine = F.array_distinct(_pairs(F.split("norm", " ")))
+    mine = F.array_distinct(_pairs(F.col("words")))
     scored = (
         met.join(F.broadcast(table.select("template", "template_bigrams")), "template")
         .select(
-            "doc_id", "kind", "number", "norm", "template",
+            "doc_id", "kind", "number", "words", "template",
             F.size(F.array_intersect(mine, F.col("template_bigrams"))).alias("shared"),
             (F.size(mine) + F.size("template_bigrams")).alias("both"),
         )
@@ -203,6 +216,6 @@ def scan(
     )
     best = F.struct((-F.col("dice")).alias("worse"), F.col("template").alias("license"), "shared", "dice")
     return (
-        scored.groupBy("doc_id", "kind", "number", "norm").agg(F.min(best).alias("best"))
+        scored.groupBy("doc_id", "kind", "number", "words").agg(F.min(best).alias("best"))
         .select("doc_id", "kind", "number", "best.license", "best.shared", "best.dice")
     )

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import exact_dedup, licenses, packing
+from starlane.llm import bpe, exact_dedup, licenses, packing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -35,6 +44,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_packing": op5_packing,
+    "op7_bpe": op7_bpe,
     "op10_license_scan": op10_license_scan,
 }
 
