@@ -2,9 +2,9 @@
 
 Texts are cut into words in Spark's tasks. A block of texts becomes its list of distinct
 words and, for each text, the positions' numbers in that list. Words are dealt by their
-hash over all tasks, where each distinct word of a task's run is encoded once; their ids
-go back to the blocks, and by position to the texts. Only distinct words of a block
-travel, never one row per occurrence. Decoding is the same join by position on the other
+hash over all tasks, where each distinct word is encoded once (as long as the task's
+bounded memory of words lasts); their ids go back to the blocks, and by position to the
+texts. Only distinct words of a block travel, compressed, never a row per occurrence. Decoding is the same join by position on the other
 side: ids to the pieces of the vocabulary, whose size is fixed.
 
 Blocks are bounded by ``BLOCK`` bytes of text, or one longer text. A block's name comes
@@ -20,18 +20,20 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starlane.llm.word_ids import encoder, read_spec, slices, spaced_cuts, text_bytes
 
-BLOCK, TOGETHER = 8 << 20, 1 << 19
+BLOCK, TOGETHER = 6 << 20, 1 << 19
 
 
 def _word_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -49,16 +51,15 @@ def _word_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(), np.diff(np.searchsorted(at, edges))
 
 
-def _compact(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**24 in two bytes, or in two and one more for those from 2**16 on."""
-    low = numbers.astype("<u2").tobytes()
-    high = (numbers >> 16).astype(np.uint8)
-    return low + (high.tobytes() if high.any() else b"")
+def _small(numbers: np.ndarray) -> bytes:
+    """Numbers below 2**32, byte plane by byte plane, compressed; high planes are mostly zeros."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return zstandard.compress(planes.tobytes(), 3)
 
 
-def _expand(data: bytes, n: int) -> np.ndarray:
-    low = np.frombuffer(data, "<u2", n).astype(np.int64)
-    return low + (np.frombuffer(data, np.uint8, n, 2 * n).astype(np.int64) << 16) if len(data) > 2 * n else low
+def _large(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
 def _lay_out(flat: np.ndarray, sizes: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -76,73 +77,92 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     """
     spec = read_spec(tokenizer)
 
-    def blocks(batches: Iterator[pa.RecordBatch], of_words: bool) -> Iterator[pa.RecordBatch]:
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         task, number = TaskContext.get().partitionId(), 0
         for batch in batches:
             for part in slices(batch, 1, BLOCK):
-                words, codes, counts = _word_codes(part.column(1))
                 data, edges = text_bytes(part.column(1))
                 name = f"{task}-{number}-{xxhash.xxh64_hexdigest(data.tobytes() + edges.tobytes())}"
                 number += 1
-                if of_words:
-                    for at in range(0, len(words), 50_000):
-                        some = words.slice(at, 50_000)
-                        yield pa.RecordBatch.from_arrays([
-                            pa.array([name]).take(pa.array(np.zeros(len(some), np.int32))),
-                            pa.array(np.arange(at, at + len(some), dtype=np.int32)), some,
-                        ], names=["block", "code", "word"])
-                else:
-                    ends = np.cumsum(counts)
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([name] * part.num_rows), part.column(0), pa.array(counts),
-                        pa.array([len(words)] * part.num_rows, pa.int32()),
-                        pa.array([_compact(codes[e - n:e]) for e, n in zip(ends, counts, strict=True)], pa.binary()),
-                    ], names=["block", "doc_id", "n", "words", "codes"])
+                words, codes, counts = _word_codes(part.column(1))
+                # Numbered by how often they occur, so that most numbers are small.
+                order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+                rank = np.empty(len(order), np.int64)
+                rank[order] = np.arange(len(order))
+                yield name, part, words.take(pa.array(order)), rank[codes], counts
+
+    def word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per block and bucket of words."""
+        for name, _, words, _, _ in named(batches):
+            found = words.to_pylist()
+            bucket = np.array([crc32(w.encode()) % buckets for w in found], np.int64)
+            rows = []
+            by_bucket = np.argsort(bucket, kind="stable")
+            for some in np.split(by_bucket, np.flatnonzero(np.diff(bucket[by_bucket])) + 1):
+                if len(some):
+                    text = "\n".join(found[i] for i in some).encode()
+                    rows.append((int(bucket[some[0]]), _small(some), zstandard.compress(text, 3)))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(rows)), *map(pa.array, zip(*rows, strict=True))],
+                    schema=pa.schema([("block", pa.string()), ("bucket", pa.int64()), ("numbers", pa.binary()), ("words", pa.binary())]),
+                )
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    words = source.mapInArrow(lambda b: blocks(b, True), "block string, code int, word string")
-    texts = source.mapInArrow(lambda b: blocks(b, False), "block string, doc_id long, n long, words int, codes binary")
+    def text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, part, words, codes, counts in named(batches):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([name] * part.num_rows), part.column(0), pa.array(counts),
+                pa.array([len(words)] * part.num_rows, pa.int32()),
+                pa.array([_small(c) for c in np.split(codes, np.cumsum(counts)[:-1])], pa.binary()),
+            ], names=["block", "doc_id", "n", "n_words", "codes"])
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(spec, spaced_cuts)
         for batch in batches:
-            coded = batch.column(2).dictionary_encode()
-            number = coder.pieces(coded.dictionary.to_pylist())
-            flat, sizes = coder.table()
-            rows = number[coded.indices.to_numpy()]
-            ids, ends = _lay_out(flat, sizes, rows)
-            offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1),
-                pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4").tobytes())]),
-            ], names=["block", "code", "ids"])
+            for row in range(batch.num_rows):
+                block, _, numbers, words = (c[row].as_py() for c in batch.columns)
+                # Words hold no line end: that is white space.
+                number = coder.pieces(zstandard.decompress(words).decode().split("\n"))
+                flat, sizes = coder.table()
+                ids, _ = _lay_out(flat, sizes, number)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([block]), *(pa.array([x], pa.binary()) for x in (numbers, _small(sizes[number]), _small(ids)))],
+                    names=["block", "numbers", "sizes", "ids"],
+                )
 
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     table = (
-        words.repartition("word").sortWithinPartitions("word")
-        .mapInArrow(encode_words, "block string, code int, ids binary")
+        source.mapInArrow(word_rows, "block string, bucket long, numbers binary, words binary")
+        .repartition(buckets, "bucket").sortWithinPartitions("bucket")
+        .mapInArrow(encode_words, "block string, numbers binary, sizes binary, ids binary")
     )
+    texts = source.mapInArrow(text_rows, "block string, doc_id long, n long, n_words int, codes binary")
 
     def join(key: tuple, texts: pa.Table, table: pa.Table) -> pa.Table:
-        n_words = texts["words"][0].as_py()
-        found = table["ids"].combine_chunks()
-        code = table["code"].to_numpy()
-        order = np.argsort(code)
-        if not np.array_equal(code[order], np.arange(n_words)):
+        if not texts.num_rows:
+            return _nothing()
+        n_words = texts["n_words"][0].as_py()
+        parts = [
+            (_large(n), _large(s).astype(np.int64), _large(i))
+            for n, s, i in zip(*(table[c].to_pylist() for c in ("numbers", "sizes", "ids")), strict=True)
+        ] or [(np.zeros(0, np.int64),) * 3]
+        numbers, sizes, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
+        row_of = np.argsort(numbers)
+        if not np.array_equal(numbers[row_of], np.arange(n_words)):
             raise RuntimeError(f"block {key[0]} has not met its words; the input must read the same each time")
-        found = found.take(pa.array(order))
-        size = np.array(pc.binary_length(found), np.int64) // 4
-        flat = np.frombuffer(b"".join(found.to_pylist()), "<u4")
-        names, counts, out = texts["doc_id"], texts["n"].to_numpy(), []
-        for data, n in zip(texts["codes"].to_pylist(), counts, strict=True):
-            ids, _ = _lay_out(flat, size, _expand(data, int(n)))
-            out.append(ids.tobytes())
+        out = []
+        for data in texts["codes"].to_pylist():
+            ids, _ = _lay_out(flat, sizes, row_of[_large(data)])
+            out.append(ids.astype("<u4").tobytes())
         return pa.table({
-            "doc_id": names, "n_tokens": pa.array([len(x) // 4 for x in out], pa.int64()), "ids": pa.array(out, pa.binary()),
+            "doc_id": texts["doc_id"], "n_tokens": pa.array([len(x) // 4 for x in out], pa.int64()),
+            "ids": pa.array(out, pa.binary()),
         })
 
     return texts.groupBy("block").cogroup(table.groupBy("block")).applyInArrow(
-        lambda key, a, b: join([k.as_py() for k in key], a, b) if a.num_rows else _nothing(),
-        "doc_id long, n_tokens long, ids binary",
+        join, "doc_id long, n_tokens long, ids binary"
     )
 
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE = 4 << 20
-REMEMBERED, TOGETHER = 800_000, 50
+REMEMBERED, TOGETHER = 600_000, 50
 
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
