@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import bpe, exact_dedup, licenses, packing
+from starlane.llm import bpe, exact_dedup, licenses, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,6 +28,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     coded = bpe.decode(bpe.encode(_table(spark, sf_dir, "documents"), path), path)
@@ -44,6 +49,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op10_license_scan": op10_license_scan,
 }
