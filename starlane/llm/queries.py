@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import bpe, exact_dedup, licenses, packing, toxicity
+from starlane.llm import bpe, exact_dedup, licenses, ngram_join, packing, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
@@ -55,6 +60,37 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_ngram_jaccard_join": """
+        with recursive texts as (
+            select doc_id, list_filter(string_split_regex(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[\\x20\\x09-\\x0D]+'), w -> w <> '') as words
+            from documents
+        ), sets as (
+            select distinct doc_id, unnest(case
+                when len(words) = 0 then []
+                when len(words) < 5 then [array_to_string(words, ' ')]
+                else list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' '))
+            end) as shingle
+            from texts
+        ), sizes as (
+            select doc_id, count(*) as n from sets group by doc_id
+        ), shared as (
+            select a.doc_id as a, b.doc_id as b, count(*) as overlap
+            from sets a join sets b on a.shingle = b.shingle and a.doc_id <> b.doc_id
+            group by a.doc_id, b.doc_id
+        ), links as (
+            select a, b from shared
+            join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+            where 100 * overlap >= 75 * (x.n + y.n - overlap)
+        ), reached as (
+            select doc_id as a, doc_id as b from documents
+            union
+            select r.a, l.b from reached r join links l on r.b = l.a
+        )
+        select t.doc_id, coalesce(s.n, 0) as n_shingles, (select min(b) from reached where a = t.doc_id) as component_id
+        from texts t left join sizes s on s.doc_id = t.doc_id
+    """,
     "op2_exact_dedup": """
         select doc_id,
                max(doc_id) over same as keep_id,
