@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import bpe, exact_dedup, licenses, ngram_join, packing, toxicity
+from starlane.llm import bpe, exact_dedup, licenses, ngram_join, packing, pii, toxicity
+
+PII_KEY = "surrogates of the test corpus"  # a secret in real use
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -46,6 +48,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = pii.replace(_table(spark, sf_dir, "documents"), PII_KEY)
+    return new.select("row.doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -56,21 +63,22 @@ QUERIES: dict[str, Query] = {
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
+    "op8_pii_surrogates": op8_pii_surrogates,
     "op10_license_scan": op10_license_scan,
 }
 
 ORACLE: dict[str, str] = {
     "op1_ngram_jaccard_join": """
         with recursive texts as (
-            select doc_id, list_filter(string_split_regex(
+            select doc_id, [w for w in string_split_regex(
                 translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                '[\\x20\\x09-\\x0D]+'), w -> w <> '') as words
+                '[\\x20\\x09-\\x0D]+') if w <> ''] as words
             from documents
         ), sets as (
             select distinct doc_id, unnest(case
                 when len(words) = 0 then []
                 when len(words) < 5 then [array_to_string(words, ' ')]
-                else list_transform(range(1, len(words) - 3), i -> array_to_string(words[i:i + 4], ' '))
+                else [array_to_string(words[i:i + 4], ' ') for i in range(1, len(words) - 3)]
             end) as shingle
             from texts
         ), sizes as (
