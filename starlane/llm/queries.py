@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import bpe, exact_dedup, licenses, ngram_join, packing, pii, toxicity
+from starlane.llm import bpe, exact_dedup, licenses, neighbours, ngram_join, packing, pii, toxicity
 
 PII_KEY = "surrogates of the test corpus"  # a secret in real use
 
@@ -27,6 +27,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, sf_dir, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return pieces.select(
@@ -60,6 +64,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_neighbours": op4_neighbours,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
