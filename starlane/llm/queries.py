@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starlane.llm import bpe, exact_dedup, licenses, neighbours, ngram_join, packing, pii, toxicity
+from starlane.llm import (
+    bpe,
+    exact_dedup,
+    licenses,
+    neighbours,
+    ngram_join,
+    packing,
+    pii,
+    token_files,
+    toxicity,
+)
+from starlane.session import fresh_path
 
 PII_KEY = "surrogates of the test corpus"  # a secret in real use
 
@@ -57,6 +68,12 @@ def op8_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return new.select("row.doc_id", "text", F.size("entities").cast("long").alias("n_entities"), "entities")
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    token_files.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
@@ -69,6 +86,7 @@ QUERIES: dict[str, Query] = {
     "op6_toxicity": op6_toxicity,
     "op7_bpe": op7_bpe,
     "op8_pii_surrogates": op8_pii_surrogates,
+    "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
 }
 
