@@ -31,9 +31,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starlane.llm.packed import pack, unpack
 from starlane.llm.word_ids import encoder, read_spec, slices, spaced_cuts, text_bytes
 
-BLOCK, TOGETHER = 6 << 20, 1 << 19
+BLOCK, TOGETHER = 4 << 20, 1 << 19
 
 
 def _word_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -51,17 +52,6 @@ def _word_codes(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return coded.dictionary, coded.indices.to_numpy(), np.diff(np.searchsorted(at, edges))
 
 
-def _small(numbers: np.ndarray) -> bytes:
-    """Numbers below 2**32, byte plane by byte plane, compressed; high planes are mostly zeros."""
-    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
-    return zstandard.compress(planes.tobytes(), 3)
-
-
-def _large(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel()
-
-
 def _lay_out(flat: np.ndarray, sizes: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Entries ``code`` of a table (``flat`` in rows of ``sizes``) in a row, and where each ends."""
     n = sizes[code]
@@ -103,7 +93,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             for some in np.split(by_bucket, np.flatnonzero(np.diff(bucket[by_bucket])) + 1):
                 if len(some):
                     text = "\n".join(found[i] for i in some).encode()
-                    rows.append((int(bucket[some[0]]), _small(some), zstandard.compress(text, 3)))
+                    rows.append((int(bucket[some[0]]), pack(some), zstandard.compress(text, 3)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([name] * len(rows)), *map(pa.array, zip(*rows, strict=True))],
@@ -115,7 +105,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             yield pa.RecordBatch.from_arrays([
                 pa.array([name] * part.num_rows), part.column(0), pa.array(counts),
                 pa.array([len(words)] * part.num_rows, pa.int32()),
-                pa.array([_small(c) for c in np.split(codes, np.cumsum(counts)[:-1])], pa.binary()),
+                pa.array([pack(c) for c in np.split(codes, np.cumsum(counts)[:-1])], pa.binary()),
             ], names=["block", "doc_id", "n", "n_words", "codes"])
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,7 +118,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
                 flat, sizes = coder.table()
                 ids, _ = _lay_out(flat, sizes, number)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([block]), *(pa.array([x], pa.binary()) for x in (numbers, _small(sizes[number]), _small(ids)))],
+                    [pa.array([block]), *(pa.array([x], pa.binary()) for x in (numbers, pack(sizes[number]), pack(ids)))],
                     names=["block", "numbers", "sizes", "ids"],
                 )
 
@@ -145,7 +135,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             return _nothing()
         n_words = texts["n_words"][0].as_py()
         parts = [
-            (_large(n), _large(s).astype(np.int64), _large(i))
+            (unpack(n), unpack(s).astype(np.int64), unpack(i))
             for n, s, i in zip(*(table[c].to_pylist() for c in ("numbers", "sizes", "ids")), strict=True)
         ] or [(np.zeros(0, np.int64),) * 3]
         numbers, sizes, flat = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -154,7 +144,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             raise RuntimeError(f"block {key[0]} has not met its words; the input must read the same each time")
         out = []
         for data in texts["codes"].to_pylist():
-            ids, _ = _lay_out(flat, sizes, row_of[_large(data)])
+            ids, _ = _lay_out(flat, sizes, row_of[unpack(data)])
             out.append(ids.astype("<u4").tobytes())
         return pa.table({
             "doc_id": texts["doc_id"], "n_tokens": pa.array([len(x) // 4 for x in out], pa.int64()),

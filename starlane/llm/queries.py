@@ -11,11 +11,13 @@ from pyspark.sql import functions as F
 from starlane.llm import (
     bpe,
     exact_dedup,
+    importable,
     licenses,
     neighbours,
     ngram_join,
     packing,
     pii,
+    substring_dedup,
     token_files,
     toxicity,
 )
@@ -27,7 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return importable(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,6 +40,10 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.find_copies(_table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.find_passages(_table(spark, sf_dir, "documents"))
+
+
 def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
@@ -81,6 +87,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_neighbours": op4_neighbours,
     "op5_packing": op5_packing,
     "op6_toxicity": op6_toxicity,
