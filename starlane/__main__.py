@@ -19,13 +19,13 @@ def main() -> None:
     parser.add_argument("--customers", required=True, help="path of the customer file, with {ds}")
     parser.add_argument("--date", default=NOT_GIVEN, help="run date as yyyymmdd")
     parser.add_argument("--bootstrap", action="store_true", help="create the tables first")
-    parser.add_argument("--json-lines", action="store_true", help="one rental per line")
+    parser.add_argument("--json-array", action="store_true", help="a day's rentals are one JSON array, not one per line")
     args = parser.parse_args()
 
     spark = SparkSession.builder.appName("starlane").getOrCreate()
     house = bootstrap(spark, args.root) if args.bootstrap else Warehouse(use_adaptive(spark), args.root)
     ds = resolve_run_date(args.date, datetime.date.today().isoformat())
-    run_day(house, ds, args.rentals, args.customers, multi_line=not args.json_lines)
+    run_day(house, ds, args.rentals, args.customers, multi_line=args.json_array)
 
 
 if __name__ == "__main__":

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -39,10 +41,10 @@ def resolve_run_date(param: str, scheduled: str) -> str:
 
 
 def batch_day(ds: str) -> str:
-    """'20250903' -> '2025-09-03'."""
+    """'20250903' -> '2025-09-03'; an error unless it is a day of the calendar."""
     if len(ds) != 8 or not ds.isdigit():
         raise ValueError(f"run date must be yyyymmdd, got {ds!r}")
-    return f"{ds[:4]}-{ds[4:6]}-{ds[6:]}"
+    return datetime.strptime(ds, "%Y%m%d").date().isoformat()
 
 
 def ntz(text: str) -> Column:

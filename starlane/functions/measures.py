@@ -10,8 +10,16 @@ LONG_RENTAL_DAYS = 7
 
 
 def money(value: Column) -> Column:
-    """Exact cents, so that a sum does not depend on the order of its rows."""
-    return value.cast("decimal(18,2)")
+    """Exact cents, so that a sum does not depend on the order of its rows.
+
+    NULL for what has no cents in 26 digits; ``too_great`` tells.
+    """
+    return value.try_cast("decimal(28,2)")
+
+
+def too_great(value: Column) -> Column:
+    """An amount that no sum of cents can hold."""
+    return value.isNotNull() & money(value).isNull()
 
 
 def round_cents(value: Column) -> Column:

@@ -10,8 +10,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlane.operators.keys import natural_key
-from starlane.schemas import FACT_REFERENCES
+from starlane.functions.dates import iso_date
+from starlane.functions.measures import money
+from starlane.operators.keys import shown
+from starlane.schemas import CUSTOMER_ATTRIBUTES, FACT_REFERENCES
 
 CAR = "car"
 LOOKUP_ROLES = (CAR, "customer", "dropoff_location", "end_date", "pickup_location", "start_date")
@@ -22,7 +24,8 @@ def _union(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def _text(value: Column, kind: T.DataType) -> Column:
-    return (value.cast("decimal(18,2)") if isinstance(kind, T.DoubleType) else value).cast("string")
+    text = value.cast("string")
+    return F.coalesce(money(value).cast("string"), text) if isinstance(kind, T.DoubleType) else text
 
 
 def profile(name: str, table: DataFrame) -> DataFrame:
@@ -74,22 +77,36 @@ def nulls(required: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
     return _union(frames)
 
 
-def duplicate_keys(keys: Mapping[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+def duplicate_keys(keys: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
     """Values that occur more than once in a column list declared unique."""
     frames = []
-    for name, (table, columns) in keys.items():
+    for name, table, columns in keys:
         counts = table.groupBy(*columns).agg(F.count(F.lit(1)).alias("row_count"))
         frames.append(
             counts.filter("row_count > 1").select(
                 F.lit(name).alias("table_name"),
                 F.lit(",".join(columns)).alias("key_columns"),
-                natural_key(*columns).alias("key_value"),
+                shown(*columns).alias("key_value"),
                 "row_count",
             )
         )
     return _union(frames)
 
 
+# The keys that the tables declare. Versions of a customer share its id.
+DECLARED_KEYS = {
+    "location_dim": (("location_key",), ("location_id",)),
+    "car_dim": (("car_key",), ("car_id",), ("make", "model", "year")),
+    "date_dim": (("date_key",), ("date",)),
+    "customer_dim": (("customer_key",), ("customer_id", "effective_date")),
+    "rentals_fact": (("rental_id",),),
+}
+
+
+def declared_keys(tables: Mapping[str, DataFrame]) -> list[tuple[str, DataFrame, Sequence[str]]]:
+    return [(name, tables[name], columns) for name, keys in DECLARED_KEYS.items() for columns in keys]
+
+
 def fk_orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and distinct keys of the fact that point nowhere, one line per foreign key.
 
@@ -121,38 +138,62 @@ def fk_orphans(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def unresolved_lookups(measured: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+def unresolved_lookups(flat: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Natural values that no dimension knows, with the rentals that carry them, per role.
 
-    One scan counts rentals per (role, value); only these counts are joined.
+    ``flat`` holds valid, flattened rentals; a malformed date is reported as the text it
+    is. One scan counts rentals per (role, typed value); only these counts are joined.
     """
+    def typed(*parts: Column) -> Column:
+        a, b, c = [*parts, F.lit(None), F.lit(None)][:3]
+        return F.struct(a.cast("string").alias("a"), b.cast("string").alias("b"), c.cast("int").alias("c"))
+
+    def day(column: str) -> Column:
+        return typed(F.coalesce(iso_date(F.col(column)).cast("string"), F.col(column).cast("string")))
+
+    car = typed(F.col("make"), F.col("model"), F.col("year"))
     values = (
-        measured.select(
-            natural_key("make", "model", "year").alias(CAR),
-            F.col("customer_id").alias("customer"),
-            "dropoff_location",
-            F.col("end_date").cast("string").alias("end_date"),
-            "pickup_location",
-            F.col("start_date").cast("string").alias("start_date"),
+        flat.select(
+            car.alias(CAR),
+            typed(F.col("customer_id")).alias("customer"),
+            typed(F.col("dropoff_location")).alias("dropoff_location"),
+            day("end_date").alias("end_date"),
+            typed(F.col("pickup_location")).alias("pickup_location"),
+            day("start_date").alias("start_date"),
         )
-        .unpivot([], list(LOOKUP_ROLES), "role", "natural_value")
-        .groupBy("role", "natural_value")
+        .unpivot([], list(LOOKUP_ROLES), "role", "value")
+        .groupBy("role", "value.a", "value.b", "value.c")
         .agg(F.count(F.lit(1)).alias("rentals"))
     )
+    date = typed(F.col("date"))
+    location = typed(F.col("location_name"))
     sources = {
-        CAR: (dims["car_dim"], natural_key("make", "model", "year")),
-        "customer": (dims["customer_dim"].filter("is_current"), F.col("customer_id")),
-        "dropoff_location": (dims["location_dim"], F.col("location_name")),
-        "end_date": (dims["date_dim"], F.col("date").cast("string")),
-        "pickup_location": (dims["location_dim"], F.col("location_name")),
-        "start_date": (dims["date_dim"], F.col("date").cast("string")),
+        CAR: (dims["car_dim"], car),
+        "customer": (dims["customer_dim"].filter("is_current"), typed(F.col("customer_id"))),
+        "dropoff_location": (dims["location_dim"], location),
+        "end_date": (dims["date_dim"], date),
+        "pickup_location": (dims["location_dim"], location),
+        "start_date": (dims["date_dim"], date),
     }
     known = _union([
-        dim.select(F.lit(role).alias("role"), value.alias("natural_value"))
-        for role, (dim, value) in sources.items()
-    ]).withColumn("known", F.lit(True))
+        dim.select(F.lit(role).alias("k_role"), value.alias("k")) for role, (dim, value) in sources.items()
+    ]).select("k_role", *[F.col(f"k.{c}").alias(f"k_{c}") for c in "abc"], F.lit(True).alias("known"))
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in "abc"])
+    value = F.when(F.col("role") == CAR, shown("a", "b", "c")).otherwise(F.col("a"))
     # Not an anti join: Catalyst may move one below the counting.
-    return values.join(known, ["role", "natural_value"], "left").filter("known IS NULL").drop("known")
+    return (
+        values.join(known, (F.col("role") == F.col("k_role")) & same, "left").filter("known IS NULL")
+        .select("role", value.alias("natural_value"), "rentals")
+    )
+
+
+def batch_conflicts(batch: DataFrame) -> DataFrame:
+    """Customers whom one batch gives different attributes, with the number of different rows."""
+    return (
+        batch.select("customer_id", *CUSTOMER_ATTRIBUTES).distinct()
+        .groupBy("customer_id").agg(F.count(F.lit(1)).alias("different_rows"))
+        .filter("different_rows > 1")
+    )
 
 
 def scd2_invariants(dim: DataFrame) -> DataFrame:

@@ -14,6 +14,11 @@ def natural_key(*columns: str) -> Column:
     return F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
 
 
+def shown(*columns: str) -> Column:
+    """A key as text to read, with a mark for NULL; never to compare by."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in columns])
+
+
 def assign_keys(
     rows: DataFrame,
     natural: Column,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starlane.functions.measures import money, round_cents
+from starlane.functions.measures import money, round_cents, too_great
 
 UNKNOWN = "UNKNOWN"
 
@@ -18,9 +18,14 @@ def _revenue() -> Column:
     return F.sum(money(F.col("total_rental_amount"))).cast("double").alias("revenue")
 
 
+def _left_out() -> Column:
+    """How many amounts the revenue cannot hold."""
+    return F.count_if(too_great(F.col("total_rental_amount"))).alias("amounts_left_out")
+
+
 def revenue_by_car(fact: DataFrame, car_dim: DataFrame) -> DataFrame:
-    totals = fact.groupBy("car_key").agg(_rentals(), _revenue())
-    return totals.join(car_dim, "car_key").select("make", "model", "year", "rentals", "revenue")
+    totals = fact.groupBy("car_key").agg(_rentals(), _revenue(), _left_out())
+    return totals.join(car_dim, "car_key").select("make", "model", "year", "rentals", "revenue", "amounts_left_out")
 
 
 def revenue_by_location(fact: DataFrame, location_dim: DataFrame) -> DataFrame:
@@ -30,10 +35,10 @@ def revenue_by_location(fact: DataFrame, location_dim: DataFrame) -> DataFrame:
         F.col("dropoff_location_key").alias("dropoff"),
         "total_rental_amount",
     ).unpivot(["total_rental_amount"], ["pickup", "dropoff"], "role", "location_key")
-    totals = roles.groupBy("role", "location_key").agg(_rentals(), _revenue())
+    totals = roles.groupBy("role", "location_key").agg(_rentals(), _revenue(), _left_out())
     name = F.coalesce("location_name", F.lit(UNKNOWN)).alias("location_name")
     return totals.join(location_dim, "location_key", "left").select(
-        "role", name, "rentals", "revenue"
+        "role", name, "rentals", "revenue", "amounts_left_out"
     )
 
 
@@ -77,7 +82,7 @@ def tickets_by_segment(fact: DataFrame, segments: DataFrame) -> DataFrame:
         segments.select("customer_key", "segment"), "customer_key", "left"
     )
     totals = named.groupBy(F.coalesce("segment", F.lit(UNKNOWN)).alias("segment")).agg(
-        _rentals(), F.count_distinct("rental_id").alias("tickets"), _revenue()
+        _rentals(), F.count_distinct("rental_id").alias("tickets"), _revenue(), _left_out()
     )
     return totals.withColumn(
         "average_ticket", round_cents(F.try_divide(F.col("revenue"), F.col("tickets")))

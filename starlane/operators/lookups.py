@@ -61,49 +61,26 @@ def customer_as_of(
 ) -> DataFrame:
     """Left, to the version valid at the start of ``day``.
 
-    Each distinct (customer, day) is resolved once, by one ordered pass over the
-    customer's versions and days, and joined back. A group of that pass holds
-    at most one row per calendar day and version, so neither a customer with
-    very many rentals nor one with many versions makes pairs or a huge group.
-
-    ``rentals`` is read twice, so a stored table serves best.
+    A customer's versions, at most one per batch, become one row with an ordered list, so
+    each rental meets one row and both inputs are read once. The rentals' side comes
+    straight from its exchange: a customer with very many rentals is split at run time.
 
     With ``first_version_open`` a customer's first version also covers the time
     before it began. Where versions overlap the latest one wins.
     """
-    points = (
-        rentals.filter(F.col("customer_id").isNotNull() & F.col(day).isNotNull())
-        .select("customer_id", F.col(day).alias("_day"))
-        .distinct()
-    )
-    version = F.struct("customer_key", "end_date")
-    timeline = customer_dim.select(
-        "customer_id",
-        F.lit(None).cast("date").alias("_day"),
-        F.col("effective_date").alias("_at"),
-        F.lit(0).alias("_is_point"),
-        F.col("customer_key").alias("_order"),
-        version.alias("_version"),
-    ).unionByName(
-        points.select(
-            "customer_id",
-            "_day",
-            F.col("_day").cast("timestamp_ntz").alias("_at"),
-            F.lit(1).alias("_is_point"),
-            F.lit(None).cast("long").alias("_order"),
-        ),
-        allowMissingColumns=True,
+    versions = customer_dim.groupBy("customer_id").agg(
+        F.array_sort(F.collect_list(
+            F.struct(F.col("effective_date").alias("at"), "customer_key", "end_date")
+        )).alias("_versions")
     )
-    ordered = W.partitionBy("customer_id").orderBy("_at", "_is_point", "_order")
-    so_far = ordered.rowsBetween(W.unboundedPreceding, W.currentRow)
-    valid_now = F.col("_found.end_date").isNull() | (F.col("_at") < F.col("_found.end_date"))
-    resolved = timeline.withColumn("_found", F.last("_version", ignorenulls=True).over(so_far))
-    chosen = F.when(valid_now, F.col("_found.customer_key"))
+    at = F.col(day).cast("timestamp_ntz")
+    begun = F.filter("_versions", lambda v: v["at"] <= at)
+    found = F.try_element_at(begun, F.lit(-1))
+    key = F.when(found["end_date"].isNull() | (at < found["end_date"]), found["customer_key"])
     if first_version_open:
-        whole = ordered.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        resolved = resolved.withColumn("_first", F.first("_version", ignorenulls=True).over(whole))
-        chosen = F.when(F.col("_found").isNull(), F.col("_first.customer_key")).otherwise(chosen)
-    keys = resolved.filter(F.col("_day").isNotNull()).select(
-        "customer_id", F.col("_day").alias(day), chosen.alias("customer_key")
+        first = F.try_element_at("_versions", F.lit(1))["customer_key"]
+        key = F.when(at.isNotNull() & found.isNull(), first).otherwise(key)
+    return (
+        rentals.join(versions, "customer_id", "left")
+        .withColumn("customer_key", key).drop("customer_id", "_versions")
     )
-    return rentals.join(keys, ["customer_id", day], "left").drop("customer_id")

@@ -16,6 +16,8 @@ from starlane.functions.compare import changed, changed_null_unsafe
 from starlane.functions.dates import ntz
 from starlane.operators.keys import assign_keys, natural_key
 from starlane.schemas import CUSTOMER_ATTRIBUTES, CUSTOMER_DIM
+from starlane.session import fresh_path
+from starlane.sources.customers import LINE
 
 KEY = "customer_id"
 COLUMNS = CUSTOMER_DIM.fieldNames()
@@ -38,8 +40,13 @@ def latest_per_key(
 
 
 def _latest(batch: DataFrame) -> DataFrame:
-    """The batch as far as it can enter the dimension: ids are NOT NULL there."""
-    return latest_per_key(batch.filter(F.col(KEY).isNotNull()))
+    """The batch as far as it can enter the dimension: ids are NOT NULL there.
+
+    Of several lines for one customer the last line of the file holds, where the batch
+    carries the lines' order; ``checks.batch_conflicts`` reports such customers.
+    """
+    order = [LINE] if LINE in batch.columns else []
+    return latest_per_key(batch.filter(F.col(KEY).isNotNull()), order).drop(LINE)
 
 
 def _new(name: str) -> Column:
@@ -119,8 +126,7 @@ def _numbered_copies(batch: DataFrame) -> DataFrame:
 def insert_all(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
     """Open a version for every batch row, repeated rows too, whether or not it changes anything."""
     copies = _numbered_copies(batch)
-    parts = [F.coalesce(F.col(a), F.lit("~")) for a in CUSTOMER_ATTRIBUTES]
-    natural = F.concat_ws("|", F.col(KEY), *parts, F.col("_copy").cast("string"))
+    natural = F.to_json(F.struct(KEY, *CUSTOMER_ATTRIBUTES, "_copy"), {"ignoreNullFields": "false"})
     keyed = assign_keys(
         copies.select("*", natural.alias("_row")), F.col("_row"), "customer_key", after=dim
     )
@@ -171,15 +177,28 @@ def opened_by(changed_rows: DataFrame, dim: DataFrame, at: str) -> DataFrame:
     return _with_keys(_opened(fresh, at), dim)
 
 
-def kept_by(changed_rows: DataFrame, current: DataFrame) -> DataFrame:
-    """The current versions that ``changes`` leaves alone, those absent from the batch included."""
+def kept_by(changed_rows: DataFrame, dim: DataFrame) -> DataFrame:
+    """The versions that ``changes`` leaves alone: history, and current ones it does not end."""
     ended = changed_rows.select("customer_key").filter("customer_key IS NOT NULL")
-    return current.join(ended, "customer_key", "left_anti").select(COLUMNS)
+    return dim.join(ended, "customer_key", "left_anti").select(COLUMNS)
+
+
+def step(dim: DataFrame, batch: DataFrame, at: str, staged: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Versions kept, closed and opened by one batch at one point in time.
+
+    One join classifies; its rows, only those that change something, are stored at
+    ``staged``, because three tables follow from them. The dimension is read for that
+    join and for what is kept, and its greatest key is looked up.
+    """
+    changes(dim, batch).write.parquet(staged)
+    changed_rows = dim.sparkSession.read.parquet(staged)
+    return kept_by(changed_rows, dim), closed_by(changed_rows, at), opened_by(changed_rows, dim, at)
 
 
 def apply(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
-    """Close and insert one batch at one point in time; applying it again changes nothing."""
-    return close(dim, batch, at).unionByName(opened_by(changes(dim, batch), dim, at))
+    """Close and insert one batch; applying it again changes nothing."""
+    kept, closed, opened = step(dim, batch, at, fresh_path(dim.sparkSession, "changes"))
+    return kept.unionByName(closed).unionByName(opened)
 
 
 def apply_literal(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:

@@ -1,42 +1,68 @@
-"""One day of the warehouse: customers first, then the fact, then the commit.
+"""One day of the warehouse: customers first, then the fact, the checks, the commit.
 
 Tables under one root folder::
 
     location_dim, car_dim, date_dim
-    customer_current/as_of=<day>        all current versions after a day
-    customer_closed/closed_batch=<day>  the versions a day ended, never changed again
-    rentals_fact/batch_date=<day>
-    commits                             one line per finished run
-
-A run writes only folders of its own day, from the snapshot of the day before,
-and becomes visible with its commit. So it can be repeated after any failure.
-Repeating an earlier day takes the warehouse back to it; the days behind it are
-then run again in order.
+    customer_current/<run>   all current versions after a run
+    customer_closed/<run>    the versions a run ended, never changed again
+    rentals_fact/<run>       a run's day of the fact
+    rejects/<run>            the rentals that the run left out, and why
+    checks/<run>             what the run's checks counted
+    commits                  one line per finished run: its number, day and folders
+
+A run writes only folders named by itself, so neither a run that fails nor one that is
+repeated touches what is visible. Tables are read through the commits alone: a run's
+folders, in all tables, become visible with its line. A line for a day takes the lines of
+that day and of later ones out of sight; later days are then run again in order.
+``vacuum`` deletes folders out of sight.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlane.functions.dates import batch_day
-from starlane.operators import dims, scd2
+from starlane.operators import checks, dims, scd2
+from starlane.operators.rentals import flatten, rejected, valid
 from starlane.plans.fact import build_fact
-from starlane.schemas import CAR_DIM, CUSTOMER_DIM, DATE_DIM, DATED_FACT, LOCATION_DIM
-from starlane.session import fresh_path, use_adaptive
-from starlane.sinks.fact import replace_day
+from starlane.schemas import CAR_DIM, CUSTOMER_DIM, DATE_DIM, DATED_FACT, LOCATION_DIM, RENTAL
+from starlane.session import fresh_path, list_folders, remove_path, use_adaptive
 from starlane.sinks.tables import create_table, replace_table
 from starlane.sources.customers import read_customers
-from starlane.sources.rentals import read_rentals
+from starlane.sources.rentals import BROKEN, read_raw_rentals
 from starlane.sources.slices import dated_path
 
 COMMIT = T.StructType([
-    T.StructField("run", T.LongType(), False),
+    T.StructField("number", T.LongType(), False),
     T.StructField("ds", T.StringType(), False),
+    T.StructField("run", T.StringType(), False),
+])
+REJECT = T.StructType([
+    T.StructField("rental_id", T.StringType()),
+    T.StructField("missing_fields", T.StringType()),
+    T.StructField("raw", T.StringType()),
+    T.StructField("batch_date", T.DateType()),
 ])
+CHECK = T.StructType([
+    T.StructField("check", T.StringType()),
+    T.StructField("item", T.StringType()),
+    T.StructField("violations", T.LongType()),
+])
+RUN_TABLES = ("customer_current", "customer_closed", "rentals_fact", "rejects", "checks")
+
+
+class Commit(NamedTuple):
+    number: int
+    ds: str
+    run: str
 
 
 @dataclass(frozen=True)
@@ -50,49 +76,63 @@ class Warehouse:
     def read(self, name: str, schema: T.StructType) -> DataFrame:
         return self.spark.read.schema(schema).parquet(self.path(name))
 
+    def read_runs(self, name: str, schema: T.StructType, runs: Sequence[str]) -> DataFrame:
+        """A table's rows from the folders of these runs."""
+        if not runs:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[self.path(f"{name}/{run}") for run in runs])
+
     # Committed runs: one short line per run, read by the driver.
 
-    def commits(self) -> list[tuple[int, str]]:
-        return sorted((r.run, r.ds) for r in self.read("commits", COMMIT).collect())
+    def commits(self) -> list[Commit]:
+        """The lines in sight, in order of their days."""
+        seen: list[Commit] = []
+        for line in sorted(Commit(*r) for r in self.read("commits", COMMIT).collect()):
+            seen = [c for c in seen if c.ds < line.ds] + [line]
+        return seen
 
-    def day_before(self, ds: str) -> str | None:
-        return max((done for _, done in self.commits() if done < ds), default=None)
+    def before(self, ds: str) -> list[Commit]:
+        return [c for c in self.commits() if c.ds < ds]
 
-    def commit(self, ds: str) -> None:
-        run = max((run for run, _ in self.commits()), default=0) + 1
-        line = self.spark.createDataFrame([(run, ds)], COMMIT)
+    def commit(self, ds: str, run: str) -> None:
+        """Makes a run visible. The file is complete or not there."""
+        number = self.read("commits", COMMIT).agg(F.max("number")).first()[0] or 0
+        line = self.spark.createDataFrame([(number + 1, ds, run)], COMMIT)
         line.coalesce(1).write.mode("append").parquet(self.path("commits"))
 
-    def current_customers(self, ds: str | None) -> DataFrame:
-        if ds is None:
-            return self.spark.createDataFrame([], CUSTOMER_DIM)
-        return self.read(f"customer_current/as_of={ds}", CUSTOMER_DIM)
+    def _customers(self, commits: Sequence[Commit]) -> DataFrame:
+        last = [c.run for c in commits[-1:]]
+        return self.read_runs("customer_current", CUSTOMER_DIM, last).unionByName(
+            self.read_runs("customer_closed", CUSTOMER_DIM, [c.run for c in commits])
+        )
 
-    def closed_customers(self, ds: str) -> DataFrame:
-        """The versions ended up to ``ds``; later folders are not read."""
-        schema = T.StructType([*CUSTOMER_DIM.fields, T.StructField("closed_batch", T.StringType())])
-        return self.read("customer_closed", schema).filter(F.col("closed_batch") <= ds).drop("closed_batch")
+    def current_customers(self, commits: Sequence[Commit]) -> DataFrame:
+        return self.read_runs("customer_current", CUSTOMER_DIM, [c.run for c in commits[-1:]])
 
     def customer_dim(self, ds: str | None = None) -> DataFrame:
-        """All versions after day ``ds``, by default after the last committed run."""
-        if ds is None:
-            done = self.commits()
-            if not done:
-                return self.current_customers(None)
-            ds = done[-1][1]
-        return self.current_customers(ds).unionByName(self.closed_customers(ds))
+        """All versions after day ``ds``, by default after the last day."""
+        return self._customers([c for c in self.commits() if ds is None or c.ds <= ds])
 
     def fact(self) -> DataFrame:
-        return self.read("rentals_fact", DATED_FACT)
+        return self.read_runs("rentals_fact", DATED_FACT, [c.run for c in self.commits()])
 
-    def dimensions(self, ds: str | None = None) -> dict[str, DataFrame]:
+    def rejects(self) -> DataFrame:
+        return self.read_runs("rejects", REJECT, [c.run for c in self.commits()])
+
+    def checks(self) -> DataFrame:
+        """The checks of the last day in sight."""
+        return self.read_runs("checks", CHECK, [c.run for c in self.commits()[-1:]])
+
+    def fixed_dimensions(self) -> dict[str, DataFrame]:
         return {
             "car_dim": self.read("car_dim", CAR_DIM),
             "location_dim": self.read("location_dim", LOCATION_DIM),
             "date_dim": self.read("date_dim", DATE_DIM),
-            "customer_dim": self.customer_dim(ds),
         }
 
+    def dimensions(self, ds: str | None = None) -> dict[str, DataFrame]:
+        return {**self.fixed_dimensions(), "customer_dim": self.customer_dim(ds)}
+
 
 def bootstrap(
     spark: SparkSession,
@@ -103,36 +143,87 @@ def bootstrap(
 ) -> Warehouse:
     """Create all tables anew, the fixed dimensions from the seeds unless given."""
     house = Warehouse(use_adaptive(spark), root)
+    create_table(spark, house.path("commits"), COMMIT)
+    for name in RUN_TABLES:
+        remove_path(spark, house.path(name))
     for name, schema, given, seed in (
         ("location_dim", LOCATION_DIM, locations, dims.seed_locations),
         ("car_dim", CAR_DIM, cars, dims.seed_cars),
         ("date_dim", DATE_DIM, dates, dims.seed_dates),
     ):
         replace_table(seed(spark) if given is None else given, house.path(name), schema)
-    create_table(spark, house.path("commits"), COMMIT)
     return house
 
 
-def run_customers(house: Warehouse, ds: str, batch: DataFrame) -> None:
-    """Close and insert one customer file on top of the day before."""
-    at = f"{batch_day(ds)} 00:00:00"
-    before = house.current_customers(house.day_before(ds))
-    # Stored, because three tables follow from it, and small beside the snapshot,
-    # so the snapshot usually keeps its place in the join that removes what ended.
+def new_run(ds: str) -> str:
+    batch_day(ds)  # an error unless it is a day
+    return f"{ds}-{uuid.uuid4().hex}"
+
+
+def run_customers(house: Warehouse, ds: str, batch: DataFrame, run: str) -> None:
+    """Close and insert one customer file on top of the days before."""
+    before = house.current_customers(house.before(ds))
     staged = fresh_path(house.spark, "changes")
-    scd2.changes(before, batch).write.parquet(staged)
-    changed = house.spark.read.parquet(staged)
-    closed = house.path(f"customer_closed/closed_batch={ds}")
-    replace_table(scd2.closed_by(changed, at), closed, CUSTOMER_DIM)
+    kept, closed, opened = scd2.step(before, batch, f"{batch_day(ds)} 00:00:00", staged)
+    replace_table(closed, house.path(f"customer_closed/{run}"), CUSTOMER_DIM)
     # The greatest key is a current one: a version ends only where a later key opens.
-    current = scd2.kept_by(changed, before).unionByName(scd2.opened_by(changed, before, at))
-    replace_table(current, house.path(f"customer_current/as_of={ds}"), CUSTOMER_DIM)
+    replace_table(kept.unionByName(opened), house.path(f"customer_current/{run}"), CUSTOMER_DIM)
+    remove_path(house.spark, staged)
+
+
+def _dimensions(house: Warehouse, ds: str, run: str) -> dict[str, DataFrame]:
+    """As they will be once the run is committed."""
+    commits = [*house.before(ds), Commit(0, ds, run)]
+    return {**house.fixed_dimensions(), "customer_dim": house._customers(commits)}
+
+
+def run_fact(house: Warehouse, ds: str, rentals: DataFrame, run: str, customer: str = "current") -> None:
+    """Build one day of the fact, and store the rentals that cannot enter it."""
+    day = F.lit(batch_day(ds)).cast("date")
+    dated = rentals.withColumn("batch_date", day)
+    out = rejected(dated).select(
+        "rental_id", "missing_fields",
+        (F.coalesce(F.col(BROKEN), F.to_json(F.struct(*RENTAL.fieldNames()))) if BROKEN in rentals.columns
+         else F.to_json(F.struct(*RENTAL.fieldNames()))).alias("raw"),
+        "batch_date",
+    )
+    replace_table(out, house.path(f"rejects/{run}"), REJECT)
+    built = build_fact(dated.drop(BROKEN), _dimensions(house, ds, run), customer)
+    replace_table(built, house.path(f"rentals_fact/{run}"), DATED_FACT)
 
 
-def run_fact(house: Warehouse, ds: str, rentals: DataFrame, customer: str = "current") -> None:
-    """Build and replace one day of the fact."""
-    dated = rentals.withColumn("batch_date", F.lit(batch_day(ds)).cast("date"))
-    replace_day(build_fact(dated, house.dimensions(ds), customer), house.path("rentals_fact"), ds)
+def run_checks(house: Warehouse, ds: str, rentals: DataFrame, batch: DataFrame, run: str) -> None:
+    """Counts of what the checks find in a run's tables, stored beside them."""
+    dims_now = _dimensions(house, ds, run)
+    fact = house.read_runs("rentals_fact", DATED_FACT, [run])
+    customers = dims_now["customer_dim"]
+
+    def lines(check: str, found: DataFrame, item: str, violations: str) -> DataFrame:
+        return found.select(
+            F.lit(check).alias("check"), F.col(item).cast("string").alias("item"), F.col(violations).cast("long").alias("violations")
+        )
+
+    def counted(check: str, item: str, found: DataFrame) -> DataFrame:
+        total = found.agg(F.count(F.lit(1)).alias("n")).withColumn("item", F.lit(item))
+        return lines(check, total, "item", "n")
+
+    unresolved = checks.unresolved_lookups(flatten(valid(rentals.drop(BROKEN))), dims_now)
+    keys = checks.duplicate_keys(checks.declared_keys({**dims_now, "rentals_fact": fact}))
+    nulls = checks.nulls({
+        "rentals_fact": (fact, ("rental_id",)), "customer_dim": (customers, ("customer_key", "customer_id")),
+    })
+    found = [
+        counted("rows", "read", rentals),
+        counted("rows", "rejected", house.read_runs("rejects", REJECT, [run])),
+        counted("rows", "fact", fact),
+        counted("batch", "conflicting customers", checks.batch_conflicts(batch)),
+        lines("unresolved", unresolved.groupBy("role").agg(F.sum("rentals").alias("n")), "role", "n"),
+        lines("duplicate", keys.groupBy(F.concat_ws(".", "table_name", "key_columns").alias("key")).agg(F.count(F.lit(1)).alias("n")), "key", "n"),
+        lines("null", nulls.withColumn("key", F.concat_ws(".", "table_name", "column_name")), "key", "null_count"),
+        lines("orphan", checks.fk_orphans(fact, dims_now), "foreign_key", "orphan_rows"),
+        lines("versions", checks.scd2_invariants(customers), "rule", "violations"),
+    ]
+    replace_table(reduce(DataFrame.unionByName, found), house.path(f"checks/{run}"), CHECK)
 
 
 def run_day(
@@ -140,14 +231,34 @@ def run_day(
     ds: str,
     rentals: str,
     customers: str,
-    multi_line: bool = True,
+    multi_line: bool = False,
     customer: str = "current",
-) -> None:
-    """Load the files of one day; ``{ds}`` in the two paths stands for the run date."""
-    run_customers(house, ds, read_customers(house.spark, dated_path(customers, ds)))
-    raw = read_rentals(house.spark, dated_path(rentals, ds), multi_line)
+    customer_line_breaks: bool = False,
+) -> str:
+    """Load the files of one day; ``{ds}`` in the two paths stands for the run date.
+
+    ``multi_line`` reads a day's rentals from one JSON array, which one task parses.
+    """
+    run = new_run(ds)
+    batch = read_customers(house.spark, dated_path(customers, ds), line_breaks=customer_line_breaks, numbered=True)
+    run_customers(house, ds, batch, run)
+    raw = read_raw_rentals(house.spark, dated_path(rentals, ds), multi_line)
     if multi_line:
         # One task parses the file; spread its rows before the lookups.
         raw = raw.hint("rebalance")
-    run_fact(house, ds, raw, customer)
-    house.commit(ds)
+    run_fact(house, ds, raw, run, customer)
+    run_checks(house, ds, raw, batch, run)
+    house.commit(ds, run)
+    return run
+
+
+def vacuum(house: Warehouse) -> list[str]:
+    """Delete folders of runs out of sight; no run may be under way. Names the folders."""
+    seen = {c.run for c in house.commits()}
+    gone = []
+    for name in RUN_TABLES:
+        for run in list_folders(house.spark, house.path(name)):
+            if run not in seen:
+                remove_path(house.spark, house.path(f"{name}/{run}"))
+                gone.append(f"{name}/{run}")
+    return gone

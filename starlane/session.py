@@ -42,8 +42,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **extra: s
 
 
 def use_adaptive(spark: SparkSession) -> SparkSession:
+    """The settings above, as far as the caller has not made them."""
+    made = spark.conf.getAll
     for name, value in ADAPTIVE.items():
-        spark.conf.set(name, value)
+        if name not in made:
+            spark.conf.set(name, value)
     return spark
 
 
@@ -57,11 +60,26 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if context.master.split("[")[0] != "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="starlane-"))
     return context.getCheckpointDir()
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever Spark can reach it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
+
+
+def list_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders under ``path``; none if it is not there."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(there):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(there) if s.isDirectory())
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

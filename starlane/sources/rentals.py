@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starlane.schemas import RENTAL
 
+BROKEN = "broken_record"
+
 
 def read_rentals(
     spark: SparkSession, path: str, multi_line: bool = False, schema: T.StructType = RENTAL
@@ -19,6 +22,32 @@ def read_rentals(
     return spark.read.schema(schema).option("multiLine", multi_line).json(path)
 
 
+def read_raw_rentals(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Rentals with the raw text of broken records in ``BROKEN``.
+
+    Whole numbers may be written with a point (``2.0``); other fractions become NULL.
+    """
+    as_double = {"quantity": "double", "year": "double"}
+
+    def relaxed(schema: T.StructType) -> T.StructType:
+        return T.StructType([
+            T.StructField(f.name, relaxed(f.dataType) if isinstance(f.dataType, T.StructType)
+                          else T.DoubleType() if f.name in as_double else f.dataType)
+            for f in schema
+        ])
+
+    def whole(value: Column) -> Column:
+        return F.when(value == F.floor(value), value.try_cast("int"))
+
+    schema = T.StructType([*relaxed(RENTAL).fields, T.StructField(BROKEN, T.StringType())])
+    raw = (
+        spark.read.schema(schema).option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", BROKEN).json(path)
+    )
+    car = F.when(F.col("car").isNotNull(), F.struct("car.make", "car.model", whole(F.col("car.year")).alias("year")))
+    return raw.withColumns({"car": car, "quantity": whole(F.col("quantity"))})
+
+
 def write_rentals(rentals: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One object per line, in a folder per ``batch_date``; a big day becomes many files."""
     (

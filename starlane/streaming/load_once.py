@@ -21,15 +21,18 @@ def load_once(
     """Append the JSON files under ``files`` not loaded before to the Parquet table ``target``.
 
     A file stream that stops when it has caught up: the checkpoint remembers
-    the files, and the target's own log leaves out a half-written batch.
+    the files, and the target's own log leaves out a half-written batch. Taking the
+    latest files first is what lifts the stream's age limit, so a file that arrives
+    with an old time stamp is loaded like any other. ``source_file`` is the whole path.
     """
     rows = (
         spark.readStream.schema(schema)
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", partition_by is None)
+        .option("latestFirst", True)
         .option("maxFilesPerTrigger", FILES_PER_TRIGGER)
         .json(files)
-        .withColumn("source_file", F.col("_metadata.file_name"))
+        .withColumn("source_file", F.col("_metadata.file_path"))
     )
     writer = (
         rows.writeStream.format("parquet")

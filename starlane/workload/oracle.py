@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from starlane.operators.dims import SEED_CARS, SEED_LOCATIONS
-
 RENTALS = """
 rentals AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS rental_id,
@@ -94,8 +92,9 @@ VERSION = "customer_key, customer_id, name, email, phone, effective_date, end_da
 NULL_SAFE = " OR ".join(f"d.{a} IS DISTINCT FROM b.{a}" for a in ("name", "email", "phone"))
 NULL_UNSAFE = " OR ".join(f"d.{a} <> b.{a}" for a in ("name", "email", "phone"))
 BY_ID = "customer_id"
-BY_ROW = """customer_id || '|' || COALESCE(name, '~') || '|' || COALESCE(email, '~')
-         || '|' || COALESCE(phone, '~') || '|1'"""
+BY_ROW = """'{"customer_id":"' || customer_id || '","name":' || COALESCE('"' || name || '"', 'null')
+         || ',"email":' || COALESCE('"' || email || '"', 'null')
+         || ',"phone":' || COALESCE('"' || phone || '"', 'null') || ',"_copy":1}'"""
 
 
 def _dim_1(day: str) -> str:
@@ -176,7 +175,8 @@ snapshots AS (
   FROM orders
 )"""
 
-REVENUE = "CAST(SUM(CAST(total_rental_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue"
+REVENUE = """CAST(SUM(TRY_CAST(total_rental_amount AS DECIMAL(28,2))) AS DOUBLE) AS revenue,
+       count(total_rental_amount) - count(TRY_CAST(total_rental_amount AS DECIMAL(28,2))) AS amounts_left_out"""
 
 
 def _versioned(dim: str, join: str, key: str = "cu.customer_key") -> str:
@@ -212,7 +212,7 @@ def _profile() -> str:
         source = "fact" if name == "rentals_fact" else name
         for column, kind in (c.split(":") for c in columns.split()):
             below = "CAST(NULL AS BIGINT)" if kind == "x" else f"count(*) FILTER ({column} <= 0)"
-            text = "CAST(CAST({} AS DECIMAL(18,2)) AS VARCHAR)" if kind == "d" else "CAST({} AS VARCHAR)"
+            text = "CAST(CAST({} AS DECIMAL(28,2)) AS VARCHAR)" if kind == "d" else "CAST({} AS VARCHAR)"
             lines.append(
                 f"SELECT '{name}' AS table_name, '{column}' AS column_name, count(*) AS row_count, "
                 f"count(*) - count({column}) AS null_count, {below} AS not_positive_count, "
@@ -240,13 +240,16 @@ def _nulls() -> str:
 
 
 def _duplicates() -> str:
-    unique = {
-        "location_dim": ("location_id",), "car_dim": ("make", "model", "year"),
-        "date_dim": ("date_key",), "customer_dim": ("customer_id",), "rentals_fact": ("rental_id",),
-    }
+    unique = (
+        ("location_dim", ("location_key",)), ("location_dim", ("location_id",)),
+        ("car_dim", ("car_key",)), ("car_dim", ("car_id",)), ("car_dim", ("make", "model", "year")),
+        ("date_dim", ("date_key",)), ("date_dim", ("date",)),
+        ("customer_dim", ("customer_key",)), ("customer_dim", ("customer_id", "effective_date")),
+        ("rentals_fact", ("rental_id",)),
+    )
     lines = []
-    for name, columns in unique.items():
-        value = " || '|' || ".join(f"CAST({c} AS VARCHAR)" for c in columns)
+    for name, columns in unique:
+        value = " || '|' || ".join(f"COALESCE(CAST({c} AS VARCHAR), 'NULL')" for c in columns)
         lines.append(
             f"SELECT '{name}' AS table_name, '{','.join(columns)}' AS key_columns, {value} AS key_value, "
             f"count(*) AS row_count FROM {'fact' if name == 'rentals_fact' else name} "
@@ -313,6 +316,33 @@ UNION ALL SELECT '{label}', 'repeated_start', count(*) - count(DISTINCT (custome
     return f"WITH {DOCUMENTED},\n{literal}\n{rules('documented', 'customer_dim')}\nUNION ALL {rules('literal', 'customer_dim_l')}"
 
 
+# Fixed values, written out apart from the code under test.
+SEED_LOCATIONS = (
+    "New York - JFK Airport",
+    "Los Angeles - LAX Airport",
+    "Chicago - OHare Airport",
+    "Houston - Bush Intercontinental Airport",
+    "San Francisco - SFO Airport",
+    "Miami - MIA Airport",
+    "Seattle - SeaTac Airport",
+    "Atlanta - Hartsfield-Jackson Airport",
+    "Dallas - DFW Airport",
+    "Denver - DEN Airport",
+)
+SEED_CARS = (
+    ("Toyota", "Camry", 2020),
+    ("Honda", "Civic", 2019),
+    ("Ford", "Mustang", 2021),
+    ("Chevrolet", "Impala", 2018),
+    ("Tesla", "Model S", 2022),
+    ("BMW", "3 Series", 2021),
+    ("Audi", "A4", 2020),
+    ("Mercedes-Benz", "C-Class", 2019),
+    ("Volkswagen", "Passat", 2021),
+    ("Nissan", "Altima", 2020),
+)
+
+
 def _seeds() -> str:
     locations = ", ".join(
         f"('location_key', {i}, 'LOC{i:03d}', '{name}')" for i, name in enumerate(SEED_LOCATIONS, 1)
@@ -368,8 +398,10 @@ DATED_FACT = f"WITH {FACT} SELECT {FACT_COLUMNS}, batch_date FROM fact"
 ORACLE: dict[str, str] = {
     "src_rental_nested": f"WITH {RENTALS} SELECT {FLAT} FROM rentals",
     "src_customer_batch": f"""WITH {CUSTOMERS}
-SELECT 'day 1' AS batch, customer_id, name, email, phone FROM batch_1
-UNION ALL SELECT 'day 2', customer_id, name, email, phone FROM batch_2""",
+SELECT batch, customer_id, email, phone,
+       CASE CAST(customer_id AS BIGINT) % 5 WHEN 0 THEN 'Ann "Al", ' || name
+            WHEN 1 THEN name || chr(10) || '2nd line' ELSE name END AS name
+FROM (SELECT 'day 1' AS batch, * FROM batch_1 UNION ALL SELECT 'day 2', * FROM batch_2)""",
     "src_batch_slice": f"WITH {RENTALS} SELECT {FLAT} FROM rentals WHERE batch_date = DATE '1998-01-01'",
     "src_batch_date_default": """
 SELECT run_date, count(*) AS runs FROM (
@@ -473,6 +505,18 @@ FROM dim_1 d FULL JOIN batch_2 b ON d.customer_id = b.customer_id GROUP BY 1""",
     "sink_fact_append": f"""{DATED_FACT}
 UNION ALL SELECT {FACT_COLUMNS}, batch_date FROM fact WHERE batch_date = DATE '1998-01-01'""",
     "sink_fact_idempotent": DATED_FACT,
+    "run_row_accounts": f"""WITH {RENTALS},{CAR_DIM},
+judged AS (
+  SELECT r.batch_date, {COMPLETE.replace(" AND ", " AND r.").replace("rental_id IS", "r.rental_id IS", 1)} AS valid, c.car_key IS NOT NULL AS known
+  FROM rentals r LEFT JOIN car_dim c ON r.make = c.make AND r.model = c.model AND r.year = c.year
+)
+SELECT batch_date, count(*) AS read, count(*) FILTER (valid AND known) AS in_fact,
+       count(*) FILTER (NOT valid) AS rejected, count(*) FILTER (valid AND NOT known) AS unknown_car
+FROM judged GROUP BY batch_date""",
+    "run_uncommitted_day": f"""WITH {WITH_CAR},{DAY_1_ONLY}
+SELECT m.rental_id, c.car_key, cu.customer_key, m.batch_date
+FROM {CAR_JOIN} LEFT JOIN customer_dim cu ON m.customer_id = cu.customer_id
+WHERE m.batch_date = DATE '1998-01-01'""",
     "kpi_revenue_by_car": f"""WITH {FACT}
 SELECT make, model, year, count(*) AS rentals, {REVENUE}
 FROM fact JOIN car_dim USING (car_key) GROUP BY make, model, year""",
@@ -497,9 +541,9 @@ FROM fact LEFT JOIN location_dim ON pickup_location_key = location_key GROUP BY
 UNION ALL
 SELECT 'overall', NULL, count(rental_duration_days), avg(rental_duration_days) FROM fact""",
     "kpi_tickets_by_segment": f"""WITH {FACT}
-SELECT segment, rentals, tickets, revenue,
+SELECT segment, rentals, tickets, revenue, amounts_left_out,
        CAST(ROUND(CAST(revenue / tickets AS DECIMAL(28,6)), 2) AS DOUBLE) AS average_ticket
-FROM (SELECT c_mktsegment AS segment, count(*) AS rentals, count(DISTINCT rental_id) AS tickets, {REVENUE}
-      FROM fact JOIN customer_dim USING (customer_key)
-      JOIN customer ON customer_id = CAST(c_custkey AS VARCHAR) GROUP BY c_mktsegment)""",
+FROM (SELECT COALESCE(c_mktsegment, 'UNKNOWN') AS segment, count(*) AS rentals, count(DISTINCT rental_id) AS tickets, {REVENUE}
+      FROM fact LEFT JOIN customer_dim USING (customer_key)
+      LEFT JOIN customer ON customer_id = CAST(c_custkey AS VARCHAR) GROUP BY 1)""",
 }

@@ -13,6 +13,7 @@ from starlane.functions.dates import NOT_GIVEN, days_between, iso_date, run_date
 from starlane.functions.measures import average_daily_amount, is_long, total_amount
 from starlane.operators import checks, dims, kpis, lookups, rentals as R, scd2
 from starlane.operators.keys import assign_keys
+from starlane.plans.daily import bootstrap, new_run, run_customers, run_fact
 from starlane.plans.fact import build_fact
 from starlane.schemas import DATED_FACT, FACT_COLUMNS, RENTAL
 from starlane.session import fresh_path, use_adaptive
@@ -48,13 +49,23 @@ def src_rental_nested(spark, sf):
     return R.flatten(read_rentals(spark, t.rental_files(spark, sf)))
 
 
+def _enclosed():
+    """Names with doubled quotes, commas and line breaks among them."""
+    name, key = F.col("name"), F.col("customer_id").cast("long")
+    return (
+        F.when(key % 5 == 0, F.concat(F.lit('Ann "Al", '), name))
+        .when(key % 5 == 1, F.concat(name, F.lit("\n2nd line")))
+        .otherwise(name)
+    )
+
+
 @query
 def src_customer_batch(spark, sf):
     frames = []
     for day, batch in (("day 1", t.batch_1), ("day 2", t.batch_2)):
         path = fresh_path(spark, "customers")
-        write_customers(batch(spark, sf), path)
-        frames.append(read_customers(spark, path).withColumn("batch", F.lit(day)))
+        write_customers(batch(spark, sf).withColumn("name", _enclosed()), path)
+        frames.append(read_customers(spark, path, line_breaks=True).withColumn("batch", F.lit(day)))
     return frames[0].unionByName(frames[1])
 
 
@@ -124,6 +135,7 @@ def src_load_once(spark, sf):
     load()
     load()
     write_rentals(t.rentals(spark, sf).filter(late), files, mode="append")
+    t.backdate(spark, files, f"batch_date={LATE_ARRIVALS}", days=30)
     load()
     return R.flatten(spark.read.schema(dated).parquet(target))
 
@@ -348,13 +360,7 @@ def chk_nulls(spark, sf):
 @query
 def chk_duplicate_keys(spark, sf):
     d = t.dimensions(spark, sf)
-    return checks.duplicate_keys({
-        "location_dim": (d["location_dim"], ("location_id",)),
-        "car_dim": (d["car_dim"], ("make", "model", "year")),
-        "date_dim": (d["date_dim"], ("date_key",)),
-        "customer_dim": (d["customer_dim"], ("customer_id",)),
-        "rentals_fact": (t.fact(spark, sf), ("rental_id",)),
-    })
+    return checks.duplicate_keys(checks.declared_keys({**d, "rentals_fact": t.fact(spark, sf)}))
 
 
 def _incomplete_dims(spark, sf):
@@ -376,7 +382,7 @@ def chk_fk_orphans(spark, sf):
 @query
 def chk_unresolved_lookups(spark, sf):
     return checks.unresolved_lookups(
-        R.measured(t.rentals(spark, sf)),
+        R.flatten(R.valid(t.rentals(spark, sf))),
         {**t.dimensions(spark, sf), "customer_dim": t.customer_dim_1(spark, sf)},
     )
 
@@ -407,6 +413,40 @@ def sink_fact_append(spark, sf):
     return _fact_with_rerun(spark, sf, append_fact)
 
 
+@query
+def run_row_accounts(spark, sf):
+    """Per day, rentals read = in the fact + rejected + of unknown cars."""
+    rentals, car_dim = t.rentals(spark, sf), t.car_dim(spark, sf)
+    car = car_dim.select("make", "model", "year", F.lit(True).alias("known")).distinct()
+    complete = R.flatten(rentals.withColumn("valid", R.complete()))
+    kinds = complete.join(car, ["make", "model", "year"], "left")
+    is_fact = F.col("valid") & F.col("known").isNotNull()
+    return kinds.groupBy("batch_date").agg(
+        F.count(F.lit(1)).alias("read"),
+        F.count_if(is_fact).alias("in_fact"),
+        F.count_if(~F.col("valid")).alias("rejected"),
+        F.count_if(F.col("valid") & F.col("known").isNull()).alias("unknown_car"),
+    )
+
+
+@query
+def run_uncommitted_day(spark, sf):
+    """The fact after a committed day, a re-run of it and a next day that were not committed."""
+    house = bootstrap(spark, fresh_path(spark, "house"), t.location_dim(spark, sf), t.car_dim(spark, sf), t.date_dim(spark, sf))
+
+    def load(ds, batch, commit):
+        run = new_run(ds)
+        run_customers(house, ds, batch, run)
+        run_fact(house, ds, batch_slice(t.rentals(spark, sf), ds).drop("batch_date"), run)
+        if commit:
+            house.commit(ds, run)
+
+    load(SLICE, t.batch_1(spark, sf), True)
+    load(SLICE, t.batch_2(spark, sf), False)
+    load("19990101", t.batch_2(spark, sf), False)
+    return house.fact().select("rental_id", "car_key", "customer_key", "batch_date")
+
+
 @query
 def sink_fact_idempotent(spark, sf):
     return _fact_with_rerun(spark, sf, replace_days)

@@ -33,16 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[sf_dir, name]).parquet(path)
 
 
-def spread(rows: DataFrame, *columns: str) -> DataFrame:
-    """Rows of a table stored in too few splits to occupy the cores, dealt out by ``columns``.
-
-    A table of many splits, as any large one is, stays where it is.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    few = rows.rdd.getNumPartitions() < cores
-    return rows.repartition(cores, *columns) if few else rows
-
-
 def once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """The path of a table that ``write`` fills once per session; later calls only read it."""
     slot = (spark.sparkContext.applicationId, shared_folder(spark), sf_dir, name)
@@ -73,7 +63,7 @@ def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("dropoff_location")
     )
     lines = (
-        spread(read("lineitem"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+        read("lineitem")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
@@ -219,6 +209,16 @@ def rental_files(spark: SparkSession, sf_dir: str) -> str:
     return once(spark, sf_dir, "rental_files", lambda p: write_rentals(rentals(spark, sf_dir), p))
 
 
+def backdate(spark: SparkSession, files: str, folder: str, days: int) -> None:
+    """Give the files of a folder a time stamp so many days back, as a copy with kept times has."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(f"{files}/{folder}")
+    system = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(there):
+        for status in system.listStatus(there):
+            old = status.getModificationTime() - days * 24 * 3600 * 1000
+            system.setTimes(status.getPath(), old, -1)
+
+
 def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """customer_key -> market segment."""
     named = table(spark, sf_dir, "customer").select(

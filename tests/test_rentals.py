@@ -1,9 +1,12 @@
 import copy
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from samples import JFK, LAX, rental
-from starlane.functions.dates import iso_date, resolve_run_date, run_date
+from starlane.functions.dates import batch_day, iso_date, resolve_run_date, run_date
+from starlane.operators import checks, kpis
 from starlane.operators import rentals as R
 from starlane.schemas import RENTAL
 
@@ -84,3 +87,42 @@ def test_run_date_rule(spark):
 def test_dates_never_fail_the_job(spark):
     frame = spark.createDataFrame([("2025-02-30",), ("",), ("2025-09-01",)], "d string")
     assert [str(r[0]) for r in frame.select(iso_date(F.col("d"))).collect()] == ["None", "None", "2025-09-01"]
+
+
+def test_great_amounts_fail_nothing(spark):
+    rows = [("a", 1, 1, 1e17), ("b", 1, 1, 0.25), ("c", 1, 1, 1e30), ("d", 2, 1, None)]
+    fact = spark.createDataFrame(rows, "rental_id string, car_key long, customer_key long, total_rental_amount double")
+    cars = spark.createDataFrame([(1, "A", "B", 1), (2, "C", "D", 2)], "car_key long, make string, model string, year int")
+    by_car = {r.make: r for r in kpis.revenue_by_car(fact, cars).collect()}
+    assert (by_car["A"].revenue, by_car["A"].rentals, by_car["A"].amounts_left_out) == (1e17 + 0.25, 3, 1)
+    assert (by_car["C"].revenue, by_car["C"].amounts_left_out) == (None, 0)
+    segments = spark.createDataFrame([(9, "X")], "customer_key long, segment string")
+    unknown = kpis.tickets_by_segment(fact, segments).collect()
+    assert [(r.segment, r.tickets, r.amounts_left_out) for r in unknown] == [("UNKNOWN", 4, 1)]
+    profile = {r.column_name: r for r in checks.table_profile({"f": fact}).collect()}
+    assert (profile["total_rental_amount"].min_value, profile["total_rental_amount"].max_value) == ("0.25", "1.0E30")
+
+
+def test_keys_are_compared_by_type(spark):
+    cars = spark.createDataFrame([("A", "B|C", 1)], "make string, model string, year int")
+    flat = spark.createDataFrame(
+        [("A|B", "C", 1, "1", "x", "y", "2025-13-01", "2025-09-03")],
+        "make string, model string, year int, customer_id string, pickup_location string, dropoff_location string, "
+        "start_date string, end_date string",
+    )
+    dims = {
+        "car_dim": cars,
+        "customer_dim": spark.createDataFrame([("1", True)], "customer_id string, is_current boolean"),
+        "location_dim": spark.createDataFrame([("x",), ("y",)], "location_name string"),
+        "date_dim": spark.createDataFrame([("2025-09-03",)], "d string").selectExpr("cast(d as date) as date"),
+    }
+    found = {r.role: r.natural_value for r in checks.unresolved_lookups(flat, dims).collect()}
+    assert found == {"car": "A|B|C|1", "start_date": "2025-13-01"}
+    keys = spark.createDataFrame([("a", None, 1), ("a", None, 1), ("a|", "1", 1)], "a string, b string, c int")
+    assert [tuple(r)[2:] for r in checks.duplicate_keys([("t", keys, ("a", "b", "c"))]).collect()] == [("a|NULL|1", 2)]
+
+
+@pytest.mark.parametrize("ds", ["20251399", "20250230", "2025-9-3", "abc"])
+def test_run_date_is_a_day(ds):
+    with pytest.raises(ValueError):
+        batch_day(ds)

@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 from pyspark.sql import types as T
 
@@ -95,17 +97,31 @@ def test_create_and_truncate(spark, tmp_path):
 
 def test_each_file_is_loaded_once(spark, tmp_path):
     files, target, log = (str(tmp_path / n) for n in ("in", "out", "log"))
-    (tmp_path / "in").mkdir()
 
-    def arrive(name, rows):
-        (tmp_path / "in" / name).write_text(json.dumps(rows))
+    def arrive(name, rows, days_ago=0):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(json.dumps(rows))
+        stamp = time.time() - 24 * 3600 * days_ago
+        os.utime(path, (stamp, stamp))
 
     def load():
         load_once(spark, files, target, log, RENTAL, multi_line=True)
-        return sorted((r.rental_id, r.source_file) for r in spark.read.parquet(target).collect())
-
-    arrive("d1.json", RENTALS["20250903"])
-    first = load()
-    assert len(first) == 3 and load() == first
-    arrive("d2.json", RENTALS["20250904"])
-    assert load() == first + [(r["rental_id"], "d2.json") for r in RENTALS["20250904"]]
+        found = spark.read.parquet(target).collect()
+        return sorted((r.rental_id, r.source_file.split("/in/")[1]) for r in found)
+
+    first, second = RENTALS["20250903"], RENTALS["20250904"]
+    arrive("a/d.json", first)
+    loaded = [(r["rental_id"], "a/d.json") for r in first]
+    assert load() == loaded and load() == loaded
+    # A file far older than the newest one, one of an equal name, and a new one.
+    arrive("old.json", [{**second[0], "rental_id": "old"}], days_ago=400)
+    arrive("b/d.json", second)
+    loaded = sorted([*loaded, *((r["rental_id"], "b/d.json") for r in second), ("old", "old.json")])
+    assert load() == loaded and load() == loaded
+
+
+def test_enclosed_customers(spark, tmp_path):
+    (tmp_path / "c.csv").write_text('C1,"Ann ""Al"" Lee",a@x,"1,2"\nC2,"line\nbreak",b@x,3\n')
+    read = read_customers(spark, str(tmp_path / "c.csv"), line_breaks=True).orderBy("customer_id").collect()
+    assert [tuple(r) for r in read] == [("C1", 'Ann "Al" Lee', "a@x", "1,2"), ("C2", "line\nbreak", "b@x", "3")]
