@@ -57,38 +57,47 @@ def find_copies(
     (a long); a poor one costs time, never a wrong result.
     """
     spark = docs.sparkSession
-    path = fresh_path(spark, "recipes")
-    recipes(docs, id_col, text_col, identify).write.parquet(path)
-    stored = spark.read.parquet(path)
+    def keep(frame: DataFrame, name: str) -> DataFrame:
+        path = fresh_path(spark, name)
+        frame.write.parquet(path)
+        return spark.read.parquet(path)
 
+    stored = keep(recipes(docs, id_col, text_col, identify), "recipes")
     shared = stored.groupBy("recipe").count().filter("count > 1")
     text = F.coalesce(F.col(text_col), F.lit(""))
     parts = docs.select(F.col(id_col).alias("id"), F.sha2(text, 256).alias("sha"), chunks(text).alias("parts"))
-    suspects = (
-        parts.withColumn("recipe", F.transform("parts", lambda c: identify(c)))
-        .join(shared.select("recipe"), "recipe", "left_semi")
-        .select("id", "sha", F.posexplode("parts").alias("pos", "chunk"))
-        .withColumn("chunk_id", identify(F.col("chunk")))
+    suspects = parts.withColumn("recipe", F.transform("parts", lambda c: identify(c))).join(
+        shared.select("recipe"), "recipe", "left_semi"
     )
-    distinct = suspects.select("chunk_id", "chunk").distinct()
+
+    def exploded(*columns: str) -> DataFrame:
+        return suspects.select(*columns, F.posexplode("parts").alias("pos", "chunk")).select(
+            *columns, "pos", "chunk", identify(F.col("chunk")).alias("chunk_id")
+        )
+
+    distinct = keep(exploded().select("chunk_id", "chunk").distinct(), "chunks")
     unsure = distinct.groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("chunk_id")
     # Chunks that share an identifier, numbered by sorting each identifier's few.
-    numbered = (
+    numbered = keep(
         distinct.join(unsure, "chunk_id", "left_semi")
         .groupBy("chunk_id").agg(F.sort_array(F.collect_list("chunk")).alias("all"))
-        .select("chunk_id", F.posexplode("all").alias("number", "chunk"))
-    )
-    marks = (
-        suspects.join(numbered, ["chunk_id", "chunk"])
-        .groupBy("id", "sha")
-        .agg(F.sort_array(F.collect_set(F.struct("pos", "number"))).alias("marks"))
-        .select(F.col("id").alias("m_id"), F.col("sha").alias("m_sha"), "marks")
+        .select("chunk_id", F.posexplode("all").alias("number", "chunk")),
+        "numbered",
     )
     none = F.array().cast("array<struct<pos:int,number:int>>")
-    told = (
-        stored.join(marks, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("sha") == F.col("m_sha")), "left")
-        .select("id", "sha", "recipe", F.coalesce("marks", none).alias("marks"))
-    )
+    if numbered.isEmpty():  # each identifier stands for one chunk; recipes can be compared as they are
+        told = stored.withColumn("marks", none)
+    else:
+        marks = (
+            exploded("id", "sha").join(numbered, ["chunk_id", "chunk"])
+            .groupBy("id", "sha")
+            .agg(F.sort_array(F.collect_set(F.struct("pos", "number"))).alias("marks"))
+            .select(F.col("id").alias("m_id"), F.col("sha").alias("m_sha"), "marks")
+        )
+        told = (
+            stored.join(marks, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("sha") == F.col("m_sha")), "left")
+            .select("id", "sha", "recipe", F.coalesce("marks", none).alias("marks"))
+        )
     groups = told.groupBy("recipe", "marks").agg(
         F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
