@@ -97,7 +97,54 @@ QUERIES: dict[str, Query] = {
     "op10_license_scan": op10_license_scan,
 }
 
+EMPTY_LINES = r"( ?\n)( ?\n)+"
+
+
+def _license_sql() -> str:
+    """The licence scan over the same templates, each segment against each."""
+    templates = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES.items())
+
+    def pairs(words: str) -> str:
+        return f"list_distinct([{words}[i] || ' ' || {words}[i + 1] for i in range(1, len({words}))])"
+
+    def words(text: str) -> str:
+        return f"[w for w in string_split(translate({text}, chr(10), ' '), ' ') if w <> '']"
+
+    def plain(text: str) -> str:
+        return rf"regexp_replace(lower({text}), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+
+    return f"""
+        with docs as (
+            select doc_id, {plain("text")} as norm from documents where text is not null
+        ), segments as (
+            select doc_id, 'line' as kind, unnest(range(len(parts))) as number, unnest(parts) as part
+            from (select doc_id, string_split(norm, chr(10)) as parts from docs)
+            union all
+            select * from (
+                select doc_id, 'paragraph', unnest(range(len(parts))), unnest(parts) as part
+                from (select doc_id, string_split_regex(norm, '{EMPTY_LINES}') as parts from docs)
+            ) where contains(part, chr(10))
+            union all
+            select doc_id, 'document', 0, norm from docs where regexp_matches(norm, '{EMPTY_LINES}')
+        ), found as (
+            select doc_id, kind, number, {pairs("words")} as mine
+            from (select doc_id, kind, number, {words("part")} as words from segments)
+        ), templates as (
+            select license, {pairs("words")} as theirs
+            from (select license, {words(plain("text"))} as words from (values {templates}) as t(license, text))
+        ), scored as (
+            select doc_id, kind, number, license, len(list_intersect(mine, theirs)) as shared,
+                   2.0::double * len(list_intersect(mine, theirs)) / (len(mine) + len(theirs)) as dice
+            from found, templates where len(mine) > 0
+        )
+        select doc_id, kind, cast(number as integer) as number, license, cast(shared as integer) as shared, dice
+        from scored where dice >= {licenses.THRESHOLD}
+        qualify row_number() over (partition by doc_id, kind, number order by dice desc, license) = 1
+    """
+
+
 ORACLE: dict[str, str] = {
+    "op10_license_scan": _license_sql(),
     "op1_ngram_jaccard_join": """
         with recursive texts as (
             select doc_id, [w for w in string_split_regex(
