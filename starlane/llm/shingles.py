@@ -9,6 +9,7 @@ import pyarrow as pa
 
 from starlane.llm.word_ids import SPACE, text_bytes
 
+SLICE = 2 << 20  # bytes of text to work on at once; each takes about 60 bytes of memory
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15)
 BASE_INVERSE = U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
