@@ -153,6 +153,13 @@ def _pairs(found: Column) -> Column:
     return F.zip_with(F.slice(found, F.lit(1), n), F.slice(found, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
+def _holds_any(text: Column, found: list[str]) -> Column:
+    """Whether the text holds one of the strings, as a word or within one."""
+    wanted = F.array(*map(F.lit, found))
+    # Through an array of one, so that the text is computed once for all strings.
+    return F.transform(F.array(text), lambda t: F.exists(wanted, lambda w: F.contains(t, w)))[0]
+
+
 def _segments(docs: DataFrame, heads: list[str], id_col: str, text_col: str) -> DataFrame:
     """``doc_id, kind, number, words`` of segments that hold one of the words ``heads``."""
     def parts(kind: str, found: Column) -> Column:
@@ -167,7 +174,7 @@ def _segments(docs: DataFrame, heads: list[str], id_col: str, text_col: str) ->
     blocks = F.filter(parts("paragraph", F.split(norm, empty)), lambda s: F.instr(s["part"], "\n") > 0)
     whole = F.filter(parts("document", F.array(norm)), lambda s: s["part"].rlike(empty))
     return (
-        docs.filter(met(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")))
+        docs.filter(_holds_any(F.lower(F.col(text_col)), heads))
         .select(F.col(id_col).alias("doc_id"), _normalised(F.col(text_col)).alias("norm"))
         .select("doc_id", F.inline(F.concat(parts("line", F.split(norm, "\n")), blocks, whole)))
         .select("doc_id", "kind", "number", F.filter(_words(F.col("part")), lambda w: w != "").alias("words"))
