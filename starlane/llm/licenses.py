@@ -8,7 +8,7 @@ score is ``2 |A & B| / (|A| + |B|)``.
 For a threshold ``t`` two bounds prune without loss. Sizes: ``|A|`` has to lie between
 ``t / (2 - t) * |B|`` and ``(2 - t) / t * |B|``. Overlap: at least
 ``t / (2 - t) * |B|`` of the template's bigrams have to be there, so any choice of the
-others and one more must be met; the choice takes those rarest in the templates. Only
+others and one more must be met; the choice takes those with the longest words. Only
 segments that meet such an anchor are scored.
 
 Templates are a parameter of bounded size (``MAX_TEMPLATES``, ``MAX_TEMPLATE_WORDS``,
@@ -115,7 +115,7 @@ def size_bounds(size: int, threshold: float) -> tuple[int, int]:
 def anchors(found: list[str], often: Counter[str], threshold: float) -> list[str]:
     """Bigrams of which every set within reach of the template holds at least one."""
     missing = len(found) - size_bounds(len(found), threshold)[0]
-    return sorted(found, key=lambda b: (often[b], -len(b), b))[: missing + 1]
+    return sorted(found, key=lambda b: (-len(head(b)), often[b], b))[: missing + 1]
 
 
 def template_table(spark: SparkSession, templates: dict[str, str], threshold: float) -> DataFrame:
@@ -153,13 +153,6 @@ def _pairs(found: Column) -> Column:
     return F.zip_with(F.slice(found, F.lit(1), n), F.slice(found, F.lit(2), n), lambda a, b: F.concat_ws(" ", a, b))
 
 
-def _holds_any(text: Column, found: list[str]) -> Column:
-    """Whether the text holds one of the strings, as a word or within one."""
-    wanted = F.array(*map(F.lit, found))
-    # Through an array of one, so that the text is computed once for all strings.
-    return F.transform(F.array(text), lambda t: F.exists(wanted, lambda w: F.contains(t, w)))[0]
-
-
 def _segments(docs: DataFrame, heads: list[str], id_col: str, text_col: str) -> DataFrame:
     """``doc_id, kind, number, words`` of segments that hold one of the words ``heads``."""
     def parts(kind: str, found: Column) -> Column:
@@ -174,7 +167,7 @@ def _segments(docs: DataFrame, heads: list[str], id_col: str, text_col: str) ->
     blocks = F.filter(parts("paragraph", F.split(norm, empty)), lambda s: F.instr(s["part"], "\n") > 0)
     whole = F.filter(parts("document", F.array(norm)), lambda s: s["part"].rlike(empty))
     return (
-        docs.filter(_holds_any(F.lower(F.col(text_col)), heads))
+        docs.filter(F.lower(F.col(text_col)).rlike(rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(heads)})(?![\p{{L}}\p{{N}}])"))
         .select(F.col(id_col).alias("doc_id"), _normalised(F.col(text_col)).alias("norm"))
         .select("doc_id", F.inline(F.concat(parts("line", F.split(norm, "\n")), blocks, whole)))
         .select("doc_id", "kind", "number", F.filter(_words(F.col("part")), lambda w: w != "").alias("words"))
