@@ -1,7 +1,9 @@
 """Private data to surrogates: keyed, of the same kind and shape, one for one.
 
 Patterns find e-mail addresses, telephone, card and social security numbers, IPv4
-addresses, access keys, assigned secrets, and personal names behind a title. Each
+addresses, access keys, assigned secrets, and personal names behind a title. A secret's keyword is in
+any case and may be quoted; its value goes to the closing quote, or as far as letters,
+digits and ``_ + / - . =`` go, however long. Each
 distinct entity of the corpus gets one surrogate, so mentions of one entity stay mentions
 of one (coreference) and different entities stay different (distinctness). Telephone
 numbers are one entity however they are written; e-mail addresses whatever their case;
@@ -9,8 +11,8 @@ surnames whatever the title or given name.
 
 A surrogate is drawn from a digest of secret key, kind, entity and attempt:
 
-- digits stay digits, letters letters of their case, hexadecimal secrets hexadecimal, and
-  all other characters as they are; a telephone number's country code, a card number's
+- digits stay digits, letters letters of their case, hexadecimal secrets (of either case)
+  hexadecimal, and all other characters as they are; a telephone number's country code, a card number's
   first digit and check-sum class, an access key's first four letters and an address's
   top domain stay too; an IPv4 address gets four parts from 1 to 254;
 - names are made of syllables of the name's script (Latin, Cyrillic or Greek, otherwise
@@ -47,11 +49,18 @@ ENDINGS = {"latin": ("ert", "ina"), "cyrillic": ("ан", "ина"), "greek": ("
 
 _TITLE = r"(?<![\p{L}\p{N}])(?:" + "|".join((*MALE, *FEMALE, *NEUTRAL)) + r")\.? "
 _PERSON = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
+# Behind a keyword in any case, its closing quote, an assignment and an opening quote; the first
+# two tests are the last one's ends, to leave most places soon. A value without a letter or
+# digit has nothing to replace.
+_ASSIGNED = (
+    r"(?<=[ =:\"'])(?<=[=:] {0,2}[\"']?)"
+    r"(?<=(?i:password|passwd|secret|token|api_key|apikey)[\"']? {0,2}[=:] {0,2}[\"']?)(?=[^\s\p{L}\p{N}]*[\p{L}\p{N}])"
+)
 # Kinds with their patterns; where two match at one place the earlier kind holds.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,8}\.[A-Za-z]{2,24}",
     "access_key": r"(?<![A-Z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Z0-9])",
-    "secret": r"(?<=(?:password|passwd|secret|token|api_key|apikey) {0,2}[=:] {0,2}[\"']?)[A-Za-z0-9_+/-]{8,200}",
+    "secret": _ASSIGNED + r"(?:(?<=\")[^\s\"]{8,}+(?=\")|(?<=')[^\s']{8,}+(?=')|[A-Za-z0-9_+/-][A-Za-z0-9_+/.=-]{6,}[A-Za-z0-9_+/=-])",
     "phone": r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "card": r"(?<!\d)\d{4}(?:\d{12}|(?:[ -]\d{4}){3})(?!\d)",
@@ -103,16 +112,17 @@ def _byte(digest: Column, i: Column) -> Column:
 
 def _shaped(real: Column, digest: Column, keep: Column) -> Column:
     """Characters behind the first ``keep``, drawn anew within their class."""
-    hexadecimal = real.rlike(r"\A[0-9a-f]+\z")
+    hexadecimal = real.rlike(r"\A(?:[0-9a-f]+|[0-9A-F]+)\z")
 
     def drawn(c: Column, i: Column) -> Column:
         def pick(letters: str) -> Column:
             return F.substring(F.lit(letters), F.pmod(_byte(digest, i), F.lit(len(letters))) + 1, F.lit(1))
 
         lower = F.when(hexadecimal, pick("abcdef")).otherwise(pick("abcdefghijklmnopqrstuvwxyz"))
+        upper = F.when(hexadecimal, pick("ABCDEF")).otherwise(pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
         return (
             F.when(i < keep, c).when(c.rlike("[0-9]"), pick("0123456789"))
-            .when(c.rlike(r"\p{Lu}"), pick("ABCDEFGHIJKLMNOPQRSTUVWXYZ")).when(c.rlike(r"\p{L}"), lower).otherwise(c)
+            .when(c.rlike(r"\p{Lu}"), upper).when(c.rlike(r"\p{L}"), lower).otherwise(c)
         )
 
     return F.array_join(F.transform(F.split(real, ""), drawn), "")

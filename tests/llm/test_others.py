@@ -88,6 +88,24 @@ def test_surrogates_keep_kind_shape_and_identity(table):
     assert anonymous(table, rows) == new and anonymous(table, rows, "other")[2].text != new[2].text
 
 
+def test_secrets_are_replaced_to_their_end(table):
+    long = "".join(random.Random(6).choices("abcXYZ019_-", k=3000))
+    rows = [
+        (1, 'TOKEN = "9233A8ECF7C59233A8ECF7C59233A8ECF7C5ABCD" and PASSWORD=abcd1234, API_KEY: 0641917EA4E9.'),
+        (2, '{"password": "hunter2hunter2", \'Secret\': \'p@ss!word\'}'), (3, f"token={long} end"),
+        (4, "token: eyJhbGciOi.eyJzdWIiOiI.SflKxwRJSM== end. secret: abcdefgh. token: -------- here"),
+        (5, "token=0641917EA4E9"),
+    ]
+    new = {i: r.text for i, r in anonymous(table, rows).items()}
+    one = re.fullmatch(r'TOKEN = "([0-9A-F]{40})" and PASSWORD=([a-z]{4}\d{4}), API_KEY: ([0-9A-F]{12})\.', new[1])
+    assert one and "9233A8ECF7C5" not in one[1] and one[2] != "abcd1234" and new[5] == f"token={one[3]}" != rows[4][1]
+    two = re.fullmatch(r'\{"password": "([a-z]{6}\d[a-z]{6}\d)", \'Secret\': \'([a-z]@[a-z]{2}![a-z]{4})\'\}', new[2])
+    assert two and two[1] != "hunter2hunter2" and two[2] != "p@ss!word"
+    assert len(new[3]) == len(rows[2][1]) and not any(long[i:i + 12] in new[3] for i in range(len(long) - 12))
+    four = re.fullmatch(r"token: (\w{10})\.(\w{11})\.(\w{10})== end\. secret: ([a-z]{8})\. token: -------- here", new[4])
+    assert four and not {"eyJhbGciOi", "eyJzdWIiOiI", "SflKxwRJSM", "abcdefgh"} & set(four.groups())
+
+
 def test_surrogates_differ_and_are_no_real_entity(spark):
     # So few surrogates of this shape that first draws collide.
     real = [("secret", f"{i:02d}") for i in range(40)] + [("given_male", f"Name{i}") for i in range(300)]
