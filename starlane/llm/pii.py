@@ -15,9 +15,15 @@ A surrogate is drawn from a digest of secret key, kind, entity and attempt:
   hexadecimal, and all other characters as they are; a telephone number's country code, a card number's
   first digit and check-sum class, an access key's first four letters and an address's
   top domain stay too; an IPv4 address gets four parts from 1 to 254;
-- names are made of syllables of the name's script (Latin, Cyrillic or Greek, otherwise
-  the name is drawn letter by letter as Latin), given names with an ending of the
-  gender that the title tells; titles stay.
+- names are made of syllables of the name's script (Latin for all but Cyrillic and
+  Greek), given names with an ending of the gender that the title tells; titles, particles
+  (van, de la) and what else stands between the parts of a name stay. A part with hyphens
+  or apostrophes, and an initial, become one name.
+
+A name behind a title goes as far as its parts follow each other, the last being the
+surname. Within a document each of its parts (but initials) is replaced wherever it is
+a whole word written alike, with a title or without; a text whose names have no title at all
+keeps them.
 
 Collision check: a surrogate that equals another entity's surrogate or a real entity
 of the corpus is drawn again, all but one of the equals each, until none is left.
@@ -47,8 +53,16 @@ SYLLABLES = {
 }
 ENDINGS = {"latin": ("ert", "ina"), "cyrillic": ("ан", "ина"), "greek": ("ος", "ινα")}
 
-_TITLE = r"(?<![\p{L}\p{N}])(?:" + "|".join((*MALE, *FEMALE, *NEUTRAL)) + r")\.? "
-_PERSON = r"\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)?"
+_TITLES = "(?:" + "|".join((*MALE, *FEMALE, *NEUTRAL)) + ")"
+_TITLE = r"(?<![\p{L}\p{N}])" + _TITLES + r"\.? "
+# A part of a name: a capital (or letter without case) and all letters on, also behind hyphens and
+# apostrophes but for a genitive's; an initial only before another part.
+_END = r"(?![\p{L}\p{M}\p{N}])"
+_PART = r"[\p{Lu}\p{Lt}\p{Lo}][\p{L}\p{M}]*+(?:['\u2019](?![sS]" + _END + r")[\p{L}\p{M}]++|[-\u2010\u2011][\p{L}\p{M}]++)*+" + _END
+_INITIAL = r"\p{Lu}\."
+_BEFORE = r"(?:(?:van|von|der|den|de|del|della|di|da|dos|du|la|le|ten|ter|zu|bin|ibn|al|el|y) )"
+_PERSON = rf"(?:{_INITIAL} ?)*+{_BEFORE}{{0,3}}{_PART}(?: (?!{_TITLES}\.? )(?:{_INITIAL} ?)*+{_BEFORE}{{0,3}}{_PART})*+"
+_PIECE = rf"(?<![\p{{L}}\p{{M}}'\u2019\u2010\u2011-])(?:{_INITIAL}|{_PART})"
 # Behind a keyword in any case, its closing quote, an assignment and an opening quote; the first
 # two tests are the last one's ends, to leave most places soon. A value without a letter or
 # digit has nothing to replace.
@@ -68,8 +82,8 @@ PATTERNS = {
     "person": _TITLE + _PERSON,
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-# No pattern matches without one of these.
-HINT = r"[@\d]|[=:]|" + _TITLE + r"\p{Lu}"
+# No pattern matches without one of these; names found go with a title.
+HINT = r"[@\d]|[=:]|" + _TITLE + r"[\p{Lu}\p{Lt}\p{Lo}]"
 
 
 def _kind(entity: Column) -> Column:
@@ -90,18 +104,47 @@ def _canonical(kind: Column, entity: Column) -> Column:
     )
 
 
-def _parts(entities: Column) -> Column:
-    """``kind, real`` of what needs a surrogate; a person has a surname and perhaps a given name."""
+def _names(person: Column) -> Column:
+    """A person's names without the title."""
+    return F.regexp_replace(person, r"\A\P{L}*\p{L}+\.? ", "")
+
+
+def _pieces(names: Column) -> Column:
+    return F.regexp_extract_all(names, F.lit(_PIECE), F.lit(0))
+
+
+def _person_parts(e: Column) -> Column:
+    """``kind, real`` of a person's names: the last is the surname, those before are given names."""
+    title = F.regexp_extract(e, r"\A(\p{L}+)", 1)
+    given = F.when(title.isin(*MALE), "given_male").when(title.isin(*FEMALE), "given_female").otherwise("given")
+    names = _pieces(_names(e))
+    return F.transform(names, lambda n, i: F.struct(F.when(i == F.size(names) - 1, "surname").otherwise(given).alias("kind"), n.alias("real")))
+
+
+def _known(text: Column) -> Column:
+    """``kind, real`` of the names behind titles in a text, surnames first."""
+    people = F.regexp_extract_all(text, F.lit(PATTERNS["person"]), F.lit(0))
+    parts = F.array_distinct(F.flatten(F.transform(people, _person_parts)))
+    # Of kinds that one name has the first holds: the surname, then the given name as it is first met.
+    return F.concat(F.filter(parts, lambda p: p["kind"] == "surname"), F.filter(parts, lambda p: p["kind"] != "surname"))
+
+
+def _any(known: Column) -> Column:
+    """All patterns and mentions, as whole words, of known names but initials."""
+    names = F.filter(F.transform(known, lambda p: p["real"]), lambda n: ~n.rlike(r"\A\p{Lu}\.?\z"))
+    return F.concat(
+        F.lit(ANY + r"|(?<![\p{L}\p{M}\p{N}])(?:"),
+        F.array_join(F.concat(F.array_sort(F.array_distinct(names), lambda a, b: F.length(b) - F.length(a)), F.array(F.lit("(?!)"))), "|"), F.lit(")" + _END),
+    )
+
+
+def _parts(entities: Column, known: Column) -> Column:
+    """``kind, real`` of what needs a surrogate; a person has a surname and perhaps given names."""
     def parts(e: Column) -> Column:
         kind = _kind(e)
-        names = F.regexp_replace(e, r"\A\P{L}*\p{L}+\.? ", "")
-        title = F.regexp_extract(e, r"\A(\p{L}+)", 1)
-        given = F.when(title.isin(*MALE), "given_male").when(title.isin(*FEMALE), "given_female").otherwise("given")
-        two = F.instr(names, " ") > 0
-        first = F.struct(given.alias("kind"), F.substring_index(names, " ", 1).alias("real"))
-        last = F.struct(F.lit("surname").alias("kind"), F.substring_index(names, " ", -1).alias("real"))
-        alone = F.struct(kind.alias("kind"), _canonical(kind, e).alias("real"))
-        return F.when(kind == "person", F.when(two, F.array(first, last)).otherwise(F.array(last))).otherwise(F.array(alone))
+        mention = F.filter(known, lambda p: p["real"] == e)
+        alone = F.array(F.struct(kind.alias("kind"), _canonical(kind, e).alias("real")))
+        return F.when(F.size(mention) > 0, F.slice(mention, 1, 1)).when(kind == "person", _person_parts(e)).otherwise(alone)
 
     return F.transform(entities, parts)
 
@@ -211,10 +254,14 @@ def _written(entity: Column, parts: Column) -> Column:
     digits = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(
         c.rlike(r"\d"), F.substring(new, F.length(F.regexp_replace(F.substring(entity, F.lit(1), i), r"\D", "")) + 1, F.lit(1))
     ).otherwise(c)), "")
-    title = F.regexp_extract(entity, r"\A(\P{L}*\p{L}+\.? )", 1)
+    names = F.when(entity.rlike(rf"\A(?:{PATTERNS['person']})\z"), _names(entity)).otherwise(entity)
+    title = F.substring(entity, F.lit(1), F.length(entity) - F.length(names))
+    # What stands between the parts of a name stays.
+    between = F.split(names, _PIECE, -1)
+    person = F.concat(title, F.array_join(F.zip_with(F.slice(between, F.lit(1), F.size(parts)), F.transform(parts, lambda p: p["surrogate"]), lambda a, b: F.concat(a, b)), ""), F.element_at(between, -1))
     return (
         F.when(kind.isin("phone", "card", "ssn"), digits)
-        .when(kind.startswith("given") | (kind == "surname"), F.concat(title, F.array_join(F.transform(parts, lambda p: p["surrogate"]), " ")))
+        .when(kind.startswith("given") | (kind == "surname"), person)
         .otherwise(new)
     )
 
@@ -224,13 +271,23 @@ def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     and the ``kind`` and ``surrogate`` of its entities in order."""
     spark = docs.sparkSession
     text = F.col(text_col)
-    found = F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
-    rows = docs.select(F.struct("*").alias("row"), text.alias("text"), F.coalesce(found, F.array().cast("array<string>")).alias("found"))
+    none = F.array().cast("array<struct<kind:string,real:string>>")
+    titled = F.when(text.rlike(_TITLE), _known(text)).otherwise(none)
+
+    def extracted(frame: DataFrame) -> DataFrame:
+        """``found`` beside the columns ``text, known``."""
+        def of(pattern: Column) -> Column:
+            return F.regexp_extract_all("text", pattern, F.lit(0))
+
+        found = F.when(F.size("known") > 0, of(_any(F.col("known")))).when(F.col("text").rlike(HINT), of(F.lit(ANY)))
+        return frame.withColumn("found", F.coalesce(found, F.array().cast("array<string>")))
+
+    rows = extracted(docs.select(F.struct("*").alias("row"), text.alias("text"), titled.alias("known")))
     path = fresh_path(spark, "entities")
     # Entities depend on the text alone: one list for all rows of one text.
     (
-        docs.select(text.alias("text"), found.alias("found")).filter(F.size("found") > 0)
-        .select(F.md5("text").alias("name"), F.transform(F.arrays_zip("found", _parts(F.col("found")).alias("parts")), lambda x: F.struct(x["found"].alias("entity"), x["parts"].alias("parts"))).alias("found"))
+        rows.select("text", "known", "found").filter(F.size("found") > 0)
+        .select(F.md5("text").alias("name"), F.transform(F.arrays_zip("found", _parts(F.col("found"), F.col("known")).alias("parts")), lambda x: F.struct(x["found"].alias("entity"), x["parts"].alias("parts"))).alias("found"))
         .select("name", F.posexplode("found").alias("pos", "one"))
         .select("name", "pos", "one.entity", F.posexplode("one.parts").alias("at", "part"))
         .select("name", "pos", "entity", "at", "part.kind", "part.real").distinct().write.parquet(path)
@@ -246,7 +303,7 @@ def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     plain = rows.filter(F.size("found") == 0).select(
         "row", "text", F.array().cast("array<struct<kind:string,surrogate:string>>").alias("entities")
     )
-    between = F.split("text", ANY, -1)
+    between = F.when(F.size("known") > 0, F.split("text", _any(F.col("known")), F.lit(-1))).otherwise(F.split("text", ANY, -1))
     after = F.transform("new", lambda x: x["surrogate"])
     joined = F.concat(F.array_join(F.zip_with(F.slice(between, F.lit(1), F.size("new")), after, lambda a, b: F.concat(a, b)), ""), F.element_at(between, -1))
     changed = (

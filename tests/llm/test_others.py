@@ -106,6 +106,26 @@ def test_secrets_are_replaced_to_their_end(table):
     assert four and not {"eyJhbGciOi", "eyJzdWIiOiI", "SflKxwRJSM", "abcdefgh"} & set(four.groups())
 
 
+def test_whole_names_and_later_mentions_are_replaced(table):
+    rows = [
+        (1, "Mr John Michael Smith met Mr McDonald and Dr Anne-Marie O'Brien. Smith's friend John Smith (Michael) left; Smithson stayed."),
+        (2, "Frau Anna van der Berg, Prof. J. R. Tolkien-Smith's book; Anna Berg and Tolkien-Smith. Dr 王伟, 王伟"),
+        (3, "Smith and John without a title"), (4, "Dr D’Angelo, Mrs Smith"), (5, "Mr B and B."),
+    ]
+    new = anonymous(table, rows)
+    N = r"([A-Z][a-z]+)"
+    one = re.fullmatch(rf"Mr {N} {N} {N} met Mr {N} and Dr {N} {N}\. {N}'s friend {N} {N} \({N}\) left; Smithson stayed\.", new[1].text)
+    assert one[1] == one[8] and one[2] == one[10] and one[3] == one[7] == one[9] and len(set(one.groups())) == 6
+    two = re.fullmatch(rf"Frau {N} van der {N}, Prof\. {N} {N} {N}'s book; {N} {N} and {N}\. Dr {N}, {N}", new[2].text)
+    assert two[1] == two[6] and two[2] == two[7] and two[5] == two[8] and two[9] == two[10]
+    assert new[3].text == rows[2][1]
+    assert re.fullmatch(rf"Dr {N}, Mrs {one[3]}", new[4].text) and "Angelo" not in new[4].text
+    assert re.fullmatch(rf"Mr {N} and B\.", new[5].text)
+    for name in ("John", "Michael", "Smith ", "Donald", "Anne", "Marie", "Brien", "Anna", "Berg", "Tolkien", "王"):
+        assert name not in new[1].text + new[2].text
+    assert [e.kind for e in new[1].entities] == ["person"] * 7
+
+
 def test_surrogates_differ_and_are_no_real_entity(spark):
     # So few surrogates of this shape that first draws collide.
     real = [("secret", f"{i:02d}") for i in range(40)] + [("given_male", f"Name{i}") for i in range(300)]
