@@ -83,7 +83,7 @@ PATTERNS = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 # No pattern matches without one of these; names found go with a title.
-HINT = r"[@\d]|[=:]|" + _TITLE + r"[\p{Lu}\p{Lt}\p{Lo}]"
+HINT = r"[@\d]|[=:]|AKIA|ASIA|" + _TITLE + r"[\p{Lu}\p{Lt}\p{Lo}]"
 
 
 def _kind(entity: Column) -> Column:
