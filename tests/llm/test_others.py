@@ -244,6 +244,24 @@ def test_few_vectors_are_all_found(spark):
     assert neighbours.search(table.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_isolated_vectors_among_copies_get_all_neighbours(spark):
+    rng = np.random.default_rng(7)
+    x = np.concatenate([np.repeat(rng.standard_normal((30, 64)), 60, axis=0), rng.standard_normal((20, 64))])
+    x[:1800] += 0.001 * rng.standard_normal((1800, 64))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    found = neighbours.search(table, (F.col("vec_id") >= 1800) | (F.col("vec_id") % 300 == 0), k=20).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert sorted(got) == [0, 300, 600, 900, 1200, 1500, *range(1800, 1820)]
+    for q, mine in got.items():
+        assert [rank for rank, _ in sorted(mine)] == list(range(1, 21))
+        if q >= 1800:
+            score = x @ x[q]
+            score[q] = -np.inf
+            assert [v for _, v in sorted(mine)] == np.lexsort((np.arange(len(x)), -score))[:20].tolist()
+
+
 def test_pigeonhole_misses_no_code():
     rng = np.random.default_rng(1)
     codes = rng.integers(0, 256, (3000, 4)).astype(np.uint8)
