@@ -191,6 +191,43 @@ def test_every_long_common_run_is_found(table):
     assert all(r.doc_id % 6 == r.other_id % 6 for r in found)
 
 
+def test_passages_near_the_threshold_are_found(table):
+    rng = random.Random(12)
+    rows = []
+    for i in range(240):
+        n, changed = rng.choice([(60, 0.1), (60, 0.16), (100, 0.2), (100, 0.24), (200, 0.24)])
+        passage = words(rng, n)
+        other = list(passage)
+        for at in rng.sample(range(n), int(n * changed)):
+            other[at] = f"z{rng.randrange(10**7)}"
+        rows += [(2 * i, " ".join(words(rng, 40) + passage + words(rng, 40))), (2 * i + 1, " ".join(words(rng, 70) + other + words(rng, 20)))]
+    regular = words(rng, 210)
+    rows += [(1000, " ".join(regular)), (1001, " ".join("z" if i % 7 == 3 else w for i, w in enumerate(regular)))]
+    found = {frozenset((r.doc_id, r.other_id)) for r in substring_dedup.find_passages(table(rows)).collect()}
+    assert frozenset((1000, 1001)) in found
+    assert all(len({i // 2 for i in pair}) == 1 for pair in found)
+    assert len(found) >= 0.95 * 241
+
+
+def test_passages_of_parts_that_occur_elsewhere_are_found(table, spark):
+    rng = random.Random(13)
+    x, y = words(rng, 35), words(rng, 35)
+    lines = [words(rng, 11) for _ in range(9)]
+    whole = [w for line in lines for w in line]
+    rows = [(i, " ".join(words(rng, 20) + p + words(rng, 20))) for i, p in enumerate([x, y, x + y, x + y, *lines * 3, whole, whole])]
+    # The parts' documents have the smaller keys.
+    keyed = table(rows).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).collect()
+    low = min(r.k for r in keyed if r.doc_id in (2, 3, 31, 32))
+    alone = [r for r in keyed if r.doc_id not in (2, 3, 31, 32)]
+    more = [(100 + 100 * r.doc_id + i, f"{r.text} q{i}") for r in alone for i in range(40)]
+    firsts = [r for r in table(more).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).collect() if r.k < low]
+    assert {(r.doc_id - 100) // 100 for r in firsts} >= {0, 1}
+    rows = [r for r in rows if r[0] in (2, 3, 31, 32)] + [(r.doc_id, r.text) for r in firsts]
+    found = substring_dedup.find_passages(table(rows).coalesce(1)).collect()
+    got = {frozenset((r.doc_id, r.other_id)): r.matched for r in found}
+    assert got.get(frozenset((2, 3)), 0) >= 70 and got.get(frozenset((31, 32)), 0) >= 99
+
+
 def test_best_chain_is_found_with_the_tree():
     rng = random.Random(2)
     for _ in range(100):
