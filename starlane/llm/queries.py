@@ -16,6 +16,7 @@ from starlane.llm import (
     neighbours,
     ngram_join,
     packing,
+    piece_bpe,
     pii,
     substring_dedup,
     token_files,
@@ -84,6 +85,15 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = piece_bpe.decode(piece_bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_exact_dedup": op2_exact_dedup,
@@ -95,6 +105,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 EMPTY_LINES = r"( ?\n)( ?\n)+"
