@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starlane.llm import (
@@ -16,6 +16,7 @@ from starlane.llm import (
     neighbours,
     ngram_join,
     packing,
+    periodic_runs,
     piece_bpe,
     pii,
     substring_dedup,
@@ -85,6 +86,40 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def _tails(docs: DataFrame) -> DataFrame:
+    """Every tenth document, by a check sum of its id, repeats a stretch of itself to its end."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size("_words"), F.floor(F.col("_sum") / 10)
+    start = (g % n).cast("int")
+    period = (1 + F.floor((n - start) / (3 + g % 8))).cast("int")
+    place = F.sequence(F.lit(0), n - 1)
+    tail = F.transform(place, lambda i: F.get("_words", F.when(i < start, i).otherwise(start + (i - start) % period)))
+    chosen = (F.col("_sum") % 10 == 0) & F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return (
+        docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("_sum"))
+        .withColumn("_words", F.when(chosen, words))
+        .select("doc_id", F.when(F.col("_words").isNotNull(), F.array_join(tail, " ")).otherwise(F.col("text")).alias("text"))
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(_tails(_table(spark, sf_dir, "documents")))
+
+    def better(a: Column, b: Column) -> Column:
+        """The run of more periods; runs come by start and period, and the earlier one stays."""
+        return F.when(a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b).otherwise(a)
+
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("_best", F.aggregate("runs", none, better)).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        F.col("_best.start").alias("start"), F.col("_best.length").alias("length"), F.col("_best.period").alias("period"),
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = piece_bpe.decode(piece_bpe.encode(_table(spark, sf_dir, "documents"), path), path)
@@ -105,6 +140,7 @@ QUERIES: dict[str, Query] = {
     "op8_pii_surrogates": op8_pii_surrogates,
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
+    "op11_periodic_runs": op11_periodic_runs,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -155,6 +191,60 @@ def _license_sql() -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op11_periodic_runs": """
+        with summed as materialized (
+            select doc_id, row_number() over () as row,
+                   [w for w in string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+') if w <> ''] as words,
+                   xor(list_reduce(
+                       list_concat([4294967295::bigint], [ascii(c)::bigint for c in string_split(cast(doc_id as varchar), '')]),
+                       lambda c, b: list_reduce(
+                           list_concat([xor(c, b)], [0::bigint for i in range(8)]),
+                           lambda d, i: xor(d >> 1, 3988292384::bigint * (d & 1))
+                       )
+                   ), 4294967295::bigint) as h
+            from documents
+        ), placed as (
+            select *, len(words) as n, (h // 10) % len(words) as a
+            from summed where len(words) > 0
+        ), spread as (
+            select *, 1 + (n - a) // (3 + (h // 10) % 8) as p from placed
+        ), texts as (
+            select doc_id, row, n, case when h % 10 = 0
+                then [words[1 + (case when i < a then i else a + (i - a) % p end)] for i in range(n)] else words end as words
+            from spread
+        ), grams as (
+            -- Words q apart are equal along 16 places or more of a run.
+            select row, i, array_to_string(words[i + 1:i + 16], ' ') as gram
+            from (select row, words, unnest(range(n - 15)) as i from texts where n >= 24)
+        ), equal_grams as (
+            select x.row, x.i, y.i - x.i as q
+            from grams x join grams y on x.row = y.row and x.gram = y.gram and x.i < y.i
+        ), stretches as (
+            select row, min(i) as start, max(i) + 16 + q - min(i) as length, q
+            from (select *, i - row_number() over (partition by row, q order by i) as island from equal_grams)
+            group by row, q, island
+        ), runs as (
+            -- A stretch that has a period has its multiples too.
+            select row, start, length, min(q) as period
+            from stretches where length >= greatest(24, 3 * q) group by row, start, length
+        ), listed as (
+            select row, count(*) as n_runs,
+                   arg_max({'s': start, 'l': length, 'p': period}, {'e': length::double / period, 's': -start, 'p': -period}) as best,
+                   string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines
+            from runs group by row
+        ), dropped as (
+            select distinct row, unnest(range(start + period, start + length)) as i from runs
+        ), gone as (
+            select row, list(i) as places from dropped group by row
+        ), kept as (
+            select t.row, array_to_string([t.words[i + 1] for i in range(t.n) if not list_contains(coalesce(g.places, []), i)], ' ') as collapsed
+            from texts t left join gone g on g.row = t.row
+        )
+        select s.doc_id, coalesce(l.n_runs, 0) as n_runs, best['s'] as start, best['l'] as length, best['p'] as period,
+               1000 * best['l'] // best['p'] as exponent_milli,
+               sha256(coalesce(lines, '')) as runs_sha256, sha256(coalesce(collapsed, '')) as collapsed_sha256
+        from summed s left join listed l on l.row = s.row left join kept k on k.row = s.row
+    """,
     "op10_license_scan": _license_sql(),
     "op1_ngram_jaccard_join": """
         with recursive texts as (
