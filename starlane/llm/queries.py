@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from starlane.llm import (
     bpe,
+    divergence,
     exact_dedup,
     importable,
     licenses,
@@ -120,6 +121,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     coded = piece_bpe.decode(piece_bpe.encode(_table(spark, sf_dir, "documents"), path), path)
@@ -141,6 +146,7 @@ QUERIES: dict[str, Query] = {
     "op9_token_files": op9_token_files,
     "op10_license_scan": op10_license_scan,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_source_divergence": op12_source_divergence,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
@@ -191,6 +197,50 @@ def _license_sql() -> str:
 
 
 ORACLE: dict[str, str] = {
+    "op12_source_divergence": """
+        with texts as materialized (
+            select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') as terms
+            from documents
+        ), uses as (
+            select row, lang, source, unnest(terms) as term from texts
+        ), kept as (
+            select lang, term, count(*) as lang_count from uses group by lang, term having count(distinct row) >= 30
+        ), langs as (
+            select lang, count(term) as v, coalesce(sum(lang_count), 0) as n
+            from (select distinct lang from texts) left join kept using (lang) group by lang
+        ), groups as (
+            select distinct lang, source from texts
+        ), counted as (
+            select lang, source, term, count(*) as c from uses semi join kept using (lang, term) group by all
+        ), totals as (
+            select lang, source, coalesce(sum(c), 0) as n, any_value(v) as v
+            from groups join langs l using (lang) left join counted using (lang, source) group by lang, source
+        ), shares as (
+            select t.lang, t.source, k.term, coalesce(c, 0) as c, lang_count,
+                   1 + (1000000000::hugeint * (coalesce(c, 0) + 5)) // (t.n + 5 * t.v) as p
+            from totals t join kept k on k.lang = t.lang
+            left join counted d on d.lang = t.lang and d.source = t.source and d.term = k.term
+        ), pairs as (
+            select x.lang, x.source, 'pair' as part, y.source as item, sum(abs(x.p - y.p)) as value
+            from shares x join shares y on x.lang = y.lang and x.term = y.term and x.source <> y.source
+            group by all
+            union all
+            select x.lang, x.source, 'pair', y.source, 0
+            from groups x join groups y on x.lang = y.lang and x.source <> y.source join langs l on l.lang = x.lang where l.v = 0
+        ), more as (
+            select s.lang, source, 'term' as part, term as item,
+                   p - (1 + (1000000000::hugeint * (lang_count + 5)) // (l.n + 5 * l.v)) as value
+            from shares s join langs l on l.lang = s.lang where c > 0
+        ), ranked as (
+            select *, row_number() over (partition by lang, source, part order by value desc, item) as rank
+            from (select * from pairs union all select * from more where value > 0)
+        )
+        select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+        from ranked where part = 'pair' or rank <= 50
+    """,
     "op11_periodic_runs": """
         with summed as materialized (
             select doc_id, row_number() over () as row,
