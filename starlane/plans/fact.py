@@ -35,6 +35,8 @@ def build_fact(
     """
     rows = lookups.car_key(measured(rentals), dims["car_dim"])
     rows = lookups.location_keys(rows, dims["location_dim"])
+    if customer == "as_of" and "spread" not in options:
+        options["spread"] = lookups.spread_customers(rentals)
     rows = _customer_key(rows, dims["customer_dim"], customer, **options)
     rows = lookups.date_keys(rows, dims["date_dim"])
     return conform(rows, DATED_FACT if "batch_date" in rentals.columns else RENTALS_FACT)

@@ -175,6 +175,30 @@ snapshots AS (
   FROM orders
 )"""
 
+VERSIONS = f"""{SNAPSHOTS},
+daily AS (
+  SELECT * FROM snapshots
+  QUALIFY row_number() OVER (PARTITION BY customer_id, batch_date ORDER BY seen_at DESC, seen_key DESC) = 1
+),
+marked AS (
+  SELECT *, row_number() OVER w = 1
+            OR name IS DISTINCT FROM lag(name) OVER w
+            OR email IS DISTINCT FROM lag(email) OVER w
+            OR phone IS DISTINCT FROM lag(phone) OVER w AS starts
+  FROM daily WINDOW w AS (PARTITION BY customer_id ORDER BY batch_date)
+),
+versions AS (
+  SELECT customer_id, name, email, phone, CAST(batch_date AS TIMESTAMP) AS effective_date,
+         CAST(lead(batch_date) OVER (PARTITION BY customer_id ORDER BY batch_date) AS TIMESTAMP) AS end_date
+  FROM marked WHERE starts
+),
+history AS (
+  SELECT row_number() OVER (ORDER BY md5(customer_id || '|' || CAST(effective_date AS VARCHAR)),
+                            customer_id || '|' || CAST(effective_date AS VARCHAR)) AS customer_key,
+         customer_id, name, email, phone, effective_date, end_date, end_date IS NULL AS is_current
+  FROM versions
+)"""
+
 REVENUE = """CAST(SUM(TRY_CAST(total_rental_amount AS DECIMAL(28,2))) AS DOUBLE) AS revenue,
        count(total_rental_amount) - count(TRY_CAST(total_rental_amount AS DECIMAL(28,2))) AS amounts_left_out"""
 
@@ -455,6 +479,15 @@ LEFT JOIN date_dim s ON m.start_date = s.date LEFT JOIN date_dim e ON m.end_date
     "fact_customer_as_of_first_open": _versioned(
         EARLY, FIRST_JOIN, "COALESCE(cu.customer_key, f.first_key)"
     ),
+    "fact_customer_as_of_hot": f"""WITH {WITH_CAR},{VERSIONS},
+hot AS (
+  SELECT * REPLACE (CASE WHEN CAST(split_part(rental_id, '-', 1) AS BIGINT) % 3 = 0 THEN '4'
+                         ELSE customer_id END AS customer_id) FROM measured
+)
+SELECT m.rental_id, c.car_key, m.start_date, cu.customer_key
+FROM hot m JOIN car_dim c ON m.make = c.make AND m.model = c.model AND m.year = c.year
+LEFT JOIN history cu ON m.customer_id = cu.customer_id
+  AND cu.effective_date <= m.start_date AND (cu.end_date IS NULL OR m.start_date < cu.end_date)""",
     "fact_rentals": f"WITH {FACT} SELECT {FACT_COLUMNS} FROM fact",
     "scd2_batch_dedup": f"""WITH {SNAPSHOTS}
 SELECT * FROM snapshots
@@ -471,27 +504,7 @@ FROM dim_1 d JOIN batch_2 b ON d.customer_id = b.customer_id WHERE {change}"""
     "scd2_insert_changed": f"""WITH {_dim_1(DAY_1)},{_closed(DAY_2, NULL_SAFE)},{_opened(DAY_2, NEW_OR_CHANGED)}
 SELECT {VERSION} FROM dim_1 UNION ALL SELECT {VERSION} FROM opened""",
     "scd2_apply": f"WITH {DOCUMENTED} SELECT {VERSION} FROM customer_dim",
-    "scd2_history": f"""WITH {SNAPSHOTS},
-daily AS (
-  SELECT * FROM snapshots
-  QUALIFY row_number() OVER (PARTITION BY customer_id, batch_date ORDER BY seen_at DESC, seen_key DESC) = 1
-),
-marked AS (
-  SELECT *, row_number() OVER w = 1
-            OR name IS DISTINCT FROM lag(name) OVER w
-            OR email IS DISTINCT FROM lag(email) OVER w
-            OR phone IS DISTINCT FROM lag(phone) OVER w AS starts
-  FROM daily WINDOW w AS (PARTITION BY customer_id ORDER BY batch_date)
-),
-versions AS (
-  SELECT customer_id, name, email, phone, CAST(batch_date AS TIMESTAMP) AS effective_date,
-         CAST(lead(batch_date) OVER (PARTITION BY customer_id ORDER BY batch_date) AS TIMESTAMP) AS end_date
-  FROM marked WHERE starts
-)
-SELECT row_number() OVER (ORDER BY md5(customer_id || '|' || CAST(effective_date AS VARCHAR)),
-                          customer_id || '|' || CAST(effective_date AS VARCHAR)) AS customer_key,
-       customer_id, name, email, phone, effective_date, end_date, end_date IS NULL AS is_current
-FROM versions""",
+    "scd2_history": f"WITH {VERSIONS} SELECT * FROM history",
     "scd2_change_summary": f"""WITH {_dim_1(DAY_1)}
 SELECT CASE WHEN d.customer_id IS NULL THEN 'new' WHEN b.customer_id IS NULL THEN 'absent'
             WHEN {NULL_SAFE} THEN 'changed' ELSE 'unchanged' END AS status, count(*) AS customers

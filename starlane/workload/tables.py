@@ -94,6 +94,15 @@ def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rental_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer of each rental, by the two tables it takes."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.when(F.col("l_orderkey") % 97 != 0, F.col("o_custkey").cast("string")).alias("customer_id")
+    )
+
+
 def car_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build() -> DataFrame:
         parts = table(spark, sf_dir, "part").filter("p_size <= 45")

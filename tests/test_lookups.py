@@ -99,6 +99,72 @@ def test_roles_keep_rows_and_give_null_keys(spark):
     assert (keyed.start_date_key, keyed.end_date_key) == (20250930, None)
 
 
+@pytest.mark.parametrize("first_open", [False, True])
+def test_hot_customers_spread_over_all_tasks(spark, tmp_path, first_open):
+    """Half of the rentals on one customer, a sixth on another, a twelfth on none; versions are no stored table."""
+    parts = 16
+    hot = (
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).when(F.col("id") % 6 == 1, F.lit("warm"))
+        .when(F.col("id") % 12 != 3, F.col("id").cast("string"))
+    )
+    path = str(tmp_path / "rentals")
+    spark.range(0, 60_000, 1, 8).select(
+        F.col("id").cast("string").alias("rental_id"), hot.alias("customer_id"),
+        F.date_add(F.lit(DAY), (F.col("id") % 40).cast("int")).alias("start_date"),
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    dim = (
+        rows.select("customer_id").distinct().filter("customer_id IS NOT NULL").crossJoin(spark.range(3))
+        .select(
+            F.xxhash64("customer_id", "id").alias("customer_key"), "customer_id",
+            F.date_add(F.lit(DAY), (10 * (F.col("id") + 1)).cast("int")).cast("timestamp_ntz").alias("effective_date"),
+            F.when(F.col("id") < 2, F.date_add(F.lit(DAY), (10 * (F.col("id") + 2)).cast("int"))).cast("timestamp_ntz").alias("end_date"),
+        )
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        heavy = {r.customer_id: r.pieces for r in lookups.spread_customers(rows).collect()}
+        assert set(heavy) == {"hot", "warm"} and heavy["hot"] == parts // 2
+        joined = lookups.customer_as_of(rows, dim, first_version_open=first_open)
+        got = joined.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    sizes = [0] * parts
+    for r in got:
+        sizes[r.task] += 1
+    # Pieces are dealt by hash, so a task may get two; without them one task holds over half.
+    assert len(got) == 60_000 and max(sizes) <= 60_000 / parts * 3.5 and min(sizes) > 0
+    versions = {(r.customer_id, n): r.customer_key for r in dim.collect() for n in range(40) if r.effective_date.date() <= day(n) and (r.end_date is None or day(n) < r.end_date.date())}
+    if first_open:
+        versions |= {(c, n): versions[c, 10] for c, _ in list(versions) for n in range(10)}
+    customers = {r.rental_id: r.customer_id for r in rows.collect()}
+    assert {r.rental_id: r.customer_key for r in got} == {
+        i: versions.get((c, int(i) % 40)) for i, c in customers.items()
+    }
+
+
+def test_any_spread_gives_the_same_keys(spark, rows):
+    versions = [(1, "a", 0, 5), (2, "a", 5, None), (3, "b", 2, None)]
+    pairs = [("a", n) for n in range(10)] * 3 + [("b", 1), ("b", 3), ("x", 3), (None, 1)]
+    want = None
+    for pieces in ([], [("a", 7)], [("a", 2), ("b", 3), ("x", 4), ("nobody", 2)]):
+        spread = spark.createDataFrame(pieces, "customer_id string, pieces int")
+        got = rows(lookups.customer_as_of(rentals(spark, pairs), customer_dim(spark, versions), spread=spread))
+        assert len(got) == len(pairs) and got == (want or got)
+        want = got
+    empty = rentals(spark, [])
+    assert lookups.spread_customers(empty).count() == 0
+    assert lookups.customer_as_of(empty, customer_dim(spark, versions)).count() == 0
+
+
 def test_hot_customer_is_split_across_tasks(spark, tmp_path):
     """With a third of the rentals on one customer, the shuffled lookup splits that customer."""
     path = str(tmp_path / "rentals")
