@@ -252,7 +252,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             low, text, at = low[order], text[order], at[order]
             edges = np.flatnonzero((np.diff(text, prepend=-1) != 0) | (np.diff(low, prepend=-1) != 0)).tolist()
             key, last = "", -1
-            for a, b in zip(edges, [*edges[1:], len(text)], strict=True):
+            for a, b in zip(edges, [*edges[1:], len(text)][:len(edges)], strict=True):
                 i = int(text[a])
                 rows = []
                 if i != last:
