@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from starlane.llm.word_ids import Encoder, slices
 
 SPACE = "▁"  # how pieces write a space
-PAIRS = 2_000_000  # verdicts on pairs that a task remembers
-TOGETHER = 1 << 19  # ids decoded at once
+WORDS, PAIRS = 200_000, 300_000  # words, and verdicts on pairs, that a worker remembers
+TEXT = 2 << 20  # bytes of text encoded at once
+TOGETHER = 1 << 18  # ids decoded at once
 
 
 class Pieces:
@@ -153,6 +154,12 @@ class Backtracker(Encoder):
                 piece = shorter[last]
         return found
 
+    def pieces(self, found: list[str]) -> np.ndarray:
+        if len(self.known) > WORDS:
+            self.known.clear()
+            self.ids, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        return super().pieces(found)
+
     def encode(self, found: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words in a row, and how many each has."""
         id_of, byte, score = self.model.id_of, self.model.byte, self.model.score
@@ -210,24 +217,62 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, ids`` by the model at this path; ``ids`` holds little-endian unsigned 32-bit integers."""
+class Decoder:
+    """Ids to texts, many at once."""
+
+    def __init__(self, pieces: Pieces):
+        self.library = pieces.library
+        self.flat, self.sizes = pieces.layout()
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> Iterator[str]:
+        """The text of each run of ``counts`` ids, without the first piece's leading space."""
+        stops = np.cumsum(counts)
+        starts = stops - counts
+        at = 0
+        while at < len(counts):
+            to = max(at + 1, int(np.searchsorted(stops, starts[at] + TOGETHER, "right")))
+            some = ids[starts[at]:stops[to - 1]]
+            n = self.sizes[some]
+            ends = np.cumsum(n)
+            whole = self.flat[np.repeat(self.first[some] - (ends - n), n) + np.arange(n.sum())].tobytes()
+            edges = np.concatenate([[0], ends])[np.concatenate([[0], stops[at:to] - starts[at]])].tolist()
+            unknown = (some == self.library.unk_id()).any()
+            for k, (a, b) in enumerate(zip(edges, edges[1:], strict=False), at):
+                try:
+                    if unknown:
+                        raise UnicodeError
+                    yield whole[a + whole.startswith(b" ", a, b):b].decode()
+                except UnicodeError:
+                    yield self.library.decode(ids[starts[k]:stops[k]].tolist())
+            at = to
+
+
+def encode(
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
+    """``doc_id, n_tokens, ids`` by the model at this path; ``ids`` holds little-endian unsigned 32-bit integers.
+
+    With ``decoded`` the column of ``decode`` too, by the task that has the ids.
+    """
     data = read_model(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(data)
+        decoder = Decoder(own.model)
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, TEXT):
                 ids, counts = own.documents(part.column(1))
                 ends = 4 * np.cumsum(counts)
                 flat = ids.astype("<u4").tobytes()
                 rows = [flat[a:b] for a, b in zip((ends - 4 * counts).tolist(), ends.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), pa.array(rows, pa.binary())], names=["doc_id", "n_tokens", "ids"]
-                )
+                columns = {"doc_id": part.column(0), "n_tokens": pa.array(counts), "ids": pa.array(rows, pa.binary())}
+                if decoded:
+                    columns["decoded"] = pa.array(decoder.texts(ids, counts), pa.string())
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return source.mapInArrow(run, "doc_id long, n_tokens long, ids binary" + ", decoded string" * decoded)
 
 
 def decode(coded: DataFrame, model: str) -> DataFrame:
@@ -238,38 +283,13 @@ def decode(coded: DataFrame, model: str) -> DataFrame:
     data = read_model(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(data)
-        flat, sizes = pieces.layout()
-        first = np.cumsum(sizes) - sizes
-        unknown = pieces.library.unk_id()
-
-        def text(ids: np.ndarray, at: int, to: int, whole: bytes) -> str:
-            try:
-                if (ids == unknown).any():
-                    return pieces.library.decode(ids.tolist())
-                return whole[at + whole.startswith(b" ", at, to):to].decode()
-            except UnicodeDecodeError:
-                return pieces.library.decode(ids.tolist())
-
+        decoder = Decoder(Pieces(data))
         for batch in batches:
-            counts = batch.column(1).to_numpy()
-            run_of = np.cumsum(counts) // TOGETHER
-            edges = np.concatenate([[0], np.flatnonzero(np.diff(run_of)) + 1, [len(counts)]])
-            for start, stop in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                rows = batch.slice(start, stop - start)
-                if not rows.num_rows:
-                    continue
-                own = [np.frombuffer(x, "<u4") for x in rows.column(2).to_pylist()]
-                ids = np.concatenate(own)
-                n = sizes[ids]
-                ends = np.cumsum(n)
-                total = int(ends[-1]) if len(ends) else 0
-                whole = flat[np.repeat(first[ids] - (ends - n), n) + np.arange(total)].tobytes()
-                to = np.concatenate([[0], ends])[np.cumsum([len(x) for x in own])]
-                at = np.concatenate([[0], to[:-1]])
-                decoded = [text(x, a, b, whole) for x, a, b in zip(own, at.tolist(), to.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns, pa.array(decoded, pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"]
-                )
+            own = [np.frombuffer(x, "<u4") for x in batch.column(2).to_pylist()]
+            counts = np.array([len(x) for x in own], np.int64)
+            ids = np.concatenate(own) if own else np.zeros(0, np.uint32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(decoder.texts(ids, counts), pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"]
+            )
 
     return coded.mapInArrow(run, "doc_id long, n_tokens long, ids binary, decoded string")

@@ -127,7 +127,7 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = piece_bpe.decode(piece_bpe.encode(_table(spark, sf_dir, "documents"), path), path)
+    coded = piece_bpe.encode(_table(spark, sf_dir, "documents"), path, decoded=True)
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

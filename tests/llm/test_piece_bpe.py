@@ -58,7 +58,7 @@ def test_every_piece_alone_and_by_a_neighbour(library, coder):
 
 def test_memories_may_be_cleared(library, coder, monkeypatch):
     monkeypatch.setattr(piece_bpe, "PAIRS", 10)
-    monkeypatch.setattr("starlane.llm.word_ids.REMEMBERED", 5)
+    monkeypatch.setattr(piece_bpe, "WORDS", 5)
     texts = list(random_texts(library, 3, 50))
     for text in texts:
         assert coder.documents(pa.array([text]))[0].tolist() == library.encode(text, add_bos=True, add_eos=True)
@@ -72,7 +72,10 @@ def test_rows(table, library):
         ids = library.encode(text or "", add_bos=True, add_eos=True)
         want += [(name, len(ids), np.array(ids, "<u4").tobytes(), library.decode(ids))] * 2
     assert sorted(((r.doc_id, r.n_tokens, bytes(r.ids), r.decoded) for r in found), key=repr) == sorted(want, key=repr)
+    at_once = piece_bpe.encode(table(rows, repeat=2), PATH, decoded=True).collect()
+    assert sorted(map(tuple, at_once), key=repr) == sorted(map(tuple, found), key=repr)
     assert piece_bpe.decode(piece_bpe.encode(table([]), PATH), PATH).count() == 0
+    assert piece_bpe.encode(table([]), PATH, decoded=True).count() == 0
 
 
 def test_any_ids_are_decoded(spark, library):
