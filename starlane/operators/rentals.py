@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from starlane.functions.dates import days_between, iso_date
 from starlane.functions.measures import average_daily_amount, is_long, total_amount
 
+# The text of a rental as it was read, where rows carry it.
+RAW = "raw"
 REQUIRED = (
     "rental_id",
     "customer_id",

@@ -39,7 +39,7 @@ def latest_per_key(
     return picked.select(*key, *[F.col(f"_row.{c}").alias(c) for c in rest])
 
 
-def _latest(batch: DataFrame) -> DataFrame:
+def latest(batch: DataFrame) -> DataFrame:
     """The batch as far as it can enter the dimension: ids are NOT NULL there.
 
     Of several lines for one customer the last line of the file holds, where the batch
@@ -79,7 +79,7 @@ def changed_customers(dim: DataFrame, batch: DataFrame, null_safe: bool = True)
     """Current versions whose attributes the batch changes, with old and new values."""
     return (
         dim.filter("is_current")
-        .join(_incoming(_latest(batch)), KEY)
+        .join(_incoming(latest(batch)), KEY)
         .filter(_change(null_safe))
         .select(
             "customer_key", KEY, *CUSTOMER_ATTRIBUTES,
@@ -93,7 +93,7 @@ def close(dim: DataFrame, batch: DataFrame, at: str, null_safe: bool = True) ->
     hit = F.coalesce(F.col("_arrived") & _change(null_safe), F.lit(False))
     current = (
         dim.filter("is_current")
-        .join(_incoming(_latest(batch)), KEY, "left")
+        .join(_incoming(latest(batch)), KEY, "left")
         .withColumns({
             "end_date": F.when(hit, ntz(at)).otherwise(F.col("end_date")),
             "is_current": ~hit,
@@ -135,17 +135,17 @@ def insert_all(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
 
 def insert_changed(dim: DataFrame, batch: DataFrame, at: str) -> DataFrame:
     """Open a version for new customers and for those without an equal current version."""
-    latest = _latest(batch)
+    rows = latest(batch)
     current = dim.filter("is_current").select(KEY, *CUSTOMER_ATTRIBUTES).alias("c")
     same = [F.col(f"b.{KEY}") == F.col(f"c.{KEY}")]
     same += [F.col(f"b.{a}").eqNullSafe(F.col(f"c.{a}")) for a in CUSTOMER_ATTRIBUTES]
-    opened = _opened(latest.alias("b").join(current, same, "left_anti"), at)
+    opened = _opened(rows.alias("b").join(current, same, "left_anti"), at)
     return dim.select(COLUMNS).unionByName(_with_keys(opened, dim))
 
 
 def initial(batch: DataFrame, at: str) -> DataFrame:
     """The first load: every customer of the batch as a current version."""
-    opened = _opened(_latest(batch), at)
+    opened = _opened(latest(batch), at)
     return assign_keys(opened, F.col(KEY), "customer_key").select(COLUMNS)
 
 
@@ -156,7 +156,7 @@ def changes(dim: DataFrame, batch: DataFrame) -> DataFrame:
     """
     current = dim.filter("is_current").select(COLUMNS)
     return (
-        _incoming(_latest(batch))
+        _incoming(latest(batch))
         .join(current, KEY, "left")
         .filter(F.col("customer_key").isNull() | _change(null_safe=True))
     )
@@ -214,7 +214,7 @@ def change_summary(dim: DataFrame, batch: DataFrame) -> DataFrame:
         .when(_change(null_safe=True), "changed")
         .otherwise("unchanged")
     )
-    matched = dim.filter("is_current").join(_incoming(_latest(batch)), KEY, "full")
+    matched = dim.filter("is_current").join(_incoming(latest(batch)), KEY, "full")
     return matched.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("customers"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Joins are declared without hints: a side is broadcast only if its measured
@@ -72,6 +73,11 @@ def remove_path(spark: SparkSession, path: str) -> None:
     there.getFileSystem(spark._jsc.hadoopConfiguration()).delete(there, True)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(there)
+
+
 def list_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders under ``path``; none if it is not there."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -83,3 +89,31 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file if there is none of that name; False if there is.
+
+    On a store that keeps to ``create`` without overwriting (HDFS; object stores with conditional writes)
+    only one of several writers succeeds, and so on a local disk.
+    """
+    jvm = spark._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    system = there.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(there.getParent())
+    data = text.encode()
+    try:
+        if system.getUri().getScheme() == "file":
+            files = jvm.java.nio.file
+            options = spark.sparkContext._gateway.new_array(files.OpenOption, 2)
+            options[0], options[1] = files.StandardOpenOption.CREATE_NEW, files.StandardOpenOption.WRITE
+            files.Files.write(files.Path.of(system.makeQualified(there).toUri()), data, options)
+        else:
+            out = system.create(there, False)
+            out.write(data)
+            out.close()
+    except Py4JJavaError as error:
+        if "AlreadyExists" in str(error.java_exception):
+            return False
+        raise
+    return True

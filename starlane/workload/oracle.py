@@ -419,7 +419,44 @@ MISSING = " || ".join(["CASE WHEN customer_id IS NULL THEN 'customer_id' ELSE ''
 DURATION = "CAST(end_date - start_date AS INTEGER) AS rental_duration_days"
 DATED_FACT = f"WITH {FACT} SELECT {FACT_COLUMNS}, batch_date FROM fact"
 
+# The customer history from yearly batches, whatever order they came in.
+YEARLY = VERSIONS.replace("date_trunc('month'", "date_trunc('year'")
+
+RAW_RENTALS = f"""{RENTALS},
+texts AS (
+  SELECT *, CAST(split_part(rental_id, '-', 1) AS BIGINT) AS o,
+         CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR) AS price, CAST(quantity AS VARCHAR) AS q
+  FROM rentals
+),
+lines AS (
+  SELECT *, o % 17 = 0 AS broken,
+         '{{"rental_id": "' || rental_id || '", "customer_id": ' || COALESCE('"' || customer_id || '"', 'null')
+         || ', "car": {{"make": "' || make || '", "model": "' || model || '", "year": '
+         || CASE WHEN o % 13 = 0 THEN 'true' ELSE CAST(year AS VARCHAR) END
+         || '}},  "rental_period": {{"start_date": "' || start_date || '", "end_date": "' || end_date
+         || '"}}, "rental_location": {{"pickup_location": "' || pickup_location
+         || '", "dropoff_location": "' || dropoff_location || '"}}, "amount": '
+         || CASE WHEN o % 11 = 0 THEN '"' || price || '"' ELSE price END
+         || ', "quantity": ' || q || CASE WHEN o % 7 = 0 THEN '.5' ELSE '' END
+         || ', "channel": {{"n": [1.0, ' || q || ']}}}}' AS line
+  FROM texts
+)"""
+
 ORACLE: dict[str, str] = {
+    "src_rental_array": f"""WITH {RENTALS}
+SELECT {FLAT.replace("batch_date", "").rstrip().rstrip(",")} FROM rentals""",
+    "flt_rejected_raw": f"""WITH {RAW_RENTALS}
+SELECT CASE WHEN NOT broken THEN rental_id END AS rental_id,
+       CASE WHEN broken THEN split_part(line, '"car"', 1) ELSE line END AS raw,
+       CASE WHEN broken THEN 'rental_id,customer_id,car.make,car.model,car.year,rental_period.start_date,'
+            || 'rental_period.end_date,rental_location.pickup_location,rental_location.dropoff_location,amount,quantity'
+       ELSE concat_ws(',', CASE WHEN customer_id IS NULL THEN 'customer_id' END,
+            CASE WHEN o % 13 = 0 THEN 'car.year' END, CASE WHEN o % 11 = 0 THEN 'amount' END,
+            CASE WHEN o % 7 = 0 THEN 'quantity' END) END AS missing_fields
+FROM lines WHERE broken OR customer_id IS NULL OR o % 13 = 0 OR o % 11 = 0 OR o % 7 = 0""",
+    "chk_scd2_incremental": _invariants(),
+    "run_late_days": f"""WITH {YEARLY}
+SELECT customer_id, name, email, phone, effective_date, end_date, is_current FROM history""",
     "src_rental_nested": f"WITH {RENTALS} SELECT {FLAT} FROM rentals",
     "src_customer_batch": f"""WITH {CUSTOMERS}
 SELECT batch, customer_id, email, phone,
@@ -560,3 +597,13 @@ FROM (SELECT COALESCE(c_mktsegment, 'UNKNOWN') AS segment, count(*) AS rentals,
       FROM fact LEFT JOIN customer_dim USING (customer_key)
       LEFT JOIN customer ON customer_id = CAST(c_custkey AS VARCHAR) GROUP BY 1)""",
 }
+
+# The fact does not depend on how it was loaded, but for the customers known on the first day.
+for _name in ("revenue_by_car", "revenue_by_location", "long_rental_ratio", "avg_duration"):
+    ORACLE[f"kpi_state_{_name}"] = ORACLE[f"kpi_{_name}"]
+ORACLE["kpi_state_tickets_by_segment"] = f"""WITH {WITH_CAR}
+SELECT segment, rentals, tickets, revenue, amounts_left_out,
+       CAST(ROUND(CAST(revenue / tickets AS DECIMAL(28,6)), 2) AS DOUBLE) AS average_ticket
+FROM (SELECT CASE WHEN m.batch_date < DATE '1998-01-01' AND c_custkey % 10 >= 8 THEN 'UNKNOWN' ELSE c_mktsegment END AS segment,
+             count(*) AS rentals, count(DISTINCT rental_id) AS tickets, {REVENUE}
+      FROM {CAR_JOIN} JOIN customer ON m.customer_id = CAST(c_custkey AS VARCHAR) GROUP BY 1)"""

@@ -11,16 +11,18 @@ from pyspark.sql import types as T
 
 from starlane.functions.dates import NOT_GIVEN, days_between, iso_date, run_date, yyyymmdd
 from starlane.functions.measures import average_daily_amount, is_long, total_amount
-from starlane.operators import checks, dims, kpis, lookups, rentals as R, scd2
+from starlane.operators import checks, dims, kpi_state, kpis, lookups, rentals as R, scd2, version_state
 from starlane.operators.keys import assign_keys
-from starlane.plans.daily import bootstrap, new_run, run_customers, run_fact
+from starlane.plans.daily import (
+    Warehouse, bootstrap, new_run, run_customers, run_fact, run_indicators, run_late_customers, vacuum,
+)
 from starlane.plans.fact import build_fact
-from starlane.schemas import DATED_FACT, FACT_COLUMNS, RENTAL
+from starlane.schemas import CUSTOMER_ATTRIBUTES, DATED_FACT, FACT_COLUMNS, RENTAL
 from starlane.session import fresh_path, use_adaptive
 from starlane.sinks.fact import append_fact, replace_days
 from starlane.sources.customers import read_customers, write_customers
 from starlane.sources.drift import drift_report
-from starlane.sources.rentals import read_rentals, write_rentals
+from starlane.sources.rentals import parse_rentals, read_objects, read_rentals, write_rentals
 from starlane.sources.slices import batch_slice
 from starlane.streaming.load_once import load_once
 from starlane.workload import tables as t
@@ -59,6 +61,12 @@ def _enclosed():
     )
 
 
+@query
+def src_rental_array(spark, sf):
+    """From files that are one array each, read in parts."""
+    return R.flatten(parse_rentals(read_objects(spark, t.array_files(spark, sf), multi_line=True)).drop(R.RAW))
+
+
 @query
 def src_customer_batch(spark, sf):
     frames = []
@@ -148,6 +156,39 @@ def flt_valid_rentals(spark, sf):
     return R.flatten(R.valid(t.rentals(spark, sf)))
 
 
+def _raw_rental():
+    """The text of a rental with an unknown field; some have a fraction for a whole number, another type, or no end."""
+    order = F.split_part("rental_id", F.lit("-"), F.lit(1)).cast("long")
+
+    def text(column):
+        return F.concat(F.lit('"'), column, F.lit('"'))
+
+    amount = F.col("amount").cast("decimal(18,2)").cast("string")
+    quantity = F.col("quantity").cast("string")
+    parts = {
+        '{"rental_id": ': text(F.col("rental_id")),
+        ', "customer_id": ': F.coalesce(text(F.col("customer_id")), F.lit("null")),
+        ', "car": {"make": ': text(F.col("make")), ', "model": ': text(F.col("model")),
+        ', "year": ': F.when(order % 13 == 0, "true").otherwise(F.col("year").cast("string")),
+        '},  "rental_period": {"start_date": ': text(F.col("start_date")), ', "end_date": ': text(F.col("end_date")),
+        '}, "rental_location": {"pickup_location": ': text(F.col("pickup_location")),
+        ', "dropoff_location": ': text(F.col("dropoff_location")),
+        '}, "amount": ': F.when(order % 11 == 0, text(amount)).otherwise(amount),
+        ', "quantity": ': F.when(order % 7 == 0, F.concat(quantity, F.lit(".5"))).otherwise(quantity),
+        ', "channel": {"n": [1.0, ': quantity,
+    }
+    whole = F.concat(*[x for lead, value in parts.items() for x in (F.lit(lead), value)], F.lit("]}}"))
+    return F.when(order % 17 == 0, F.split_part(whole, F.lit('"car"'), F.lit(1))).otherwise(whole)
+
+
+@query
+def flt_rejected_raw(spark, sf):
+    """Rejected rentals with the text they were read from."""
+    path = fresh_path(spark, "raw-rentals")
+    _flat(spark, sf).select(_raw_rental().alias("value")).write.text(path)
+    return R.rejected(parse_rentals(read_objects(spark, path))).select("rental_id", "missing_fields", R.RAW)
+
+
 @query
 def flt_rejected_rentals(spark, sf):
     return R.flatten(R.rejected(t.rentals(spark, sf)))
@@ -407,6 +448,18 @@ def chk_scd2_invariants(spark, sf):
     )
 
 
+@query
+def chk_scd2_incremental(spark, sf):
+    """The same rules from states of customers, ended versions first, current ones added."""
+    frames = []
+    for name, dim in (("documented", t.customer_dim(spark, sf)), ("literal", t.customer_dim_literal(spark, sf))):
+        past, now = (version_state.states(dim.filter(kind)) for kind in ("NOT is_current", "is_current"))
+        total = version_state.settled(version_state.merged(past, now), lambda dim=dim: dim)
+        rules = version_state.violations(total).select("many_current", "overlap", "flag_mismatch", "repeated_start")
+        frames.append(rules.unpivot([], rules.columns, "rule", "violations").withColumn("dimension", F.lit(name)))
+    return frames[0].unionByName(frames[1])
+
+
 # Sinks
 
 
@@ -443,7 +496,7 @@ def run_row_accounts(spark, sf):
 @query
 def run_uncommitted_day(spark, sf):
     """The fact after a committed day, a re-run of it and a next day that were not committed."""
-    house = bootstrap(spark, fresh_path(spark, "house"), t.location_dim(spark, sf), t.car_dim(spark, sf), t.date_dim(spark, sf))
+    house = _new_house(spark, sf, fresh_path(spark, "house"))
 
     def load(ds, batch, commit):
         run = new_run(ds)
@@ -458,6 +511,28 @@ def run_uncommitted_day(spark, sf):
     return house.fact().select("rental_id", "car_key", "customer_key", "batch_date")
 
 
+def _new_house(spark, sf, root):
+    return bootstrap(spark, root, t.location_dim(spark, sf), t.car_dim(spark, sf), t.date_dim(spark, sf))
+
+
+@query
+def run_late_days(spark, sf):
+    """The customer history from yearly batches, three of them loaded after later ones."""
+    house = bootstrap(spark, fresh_path(spark, "house"))
+    yearly = t.snapshots(spark, sf).withColumn("batch_date", F.trunc("batch_date", "year"))
+    batches = scd2.latest_per_key(yearly, ("seen_at", "seen_key"), ("customer_id", "batch_date"))
+    stored = fresh_path(spark, "yearly")
+    batches.write.parquet(stored)
+    batches = spark.read.schema(batches.schema).parquet(stored)
+    for year, late in ((1996, False), (1998, False), (1999, False), (2001, False), (1995, True), (2000, True), (1997, True)):
+        ds = f"{year}0101"
+        run = new_run(ds)
+        batch = batch_slice(batches, ds).select("customer_id", *CUSTOMER_ATTRIBUTES)
+        (run_late_customers if late else run_customers)(house, ds, batch, run)
+        house.commit(ds, run, late=late)
+    return house.customer_dim().drop("customer_key")
+
+
 @query
 def sink_fact_idempotent(spark, sf):
     return _fact_with_rerun(spark, sf, replace_days)
@@ -489,3 +564,53 @@ def kpi_avg_duration(spark, sf):
 @query
 def kpi_tickets_by_segment(spark, sf):
     return kpis.tickets_by_segment(t.fact(spark, sf), t.segments(spark, sf))
+
+
+# Indicators from the states of runs
+
+
+def _kept_states(spark, sf):
+    """A warehouse that has loaded all rentals in three days, the last one twice."""
+    def load(house, ds, batch, first, last):
+        run = new_run(ds)
+        run_customers(house, ds, batch, run)
+        years = F.year("batch_date").between(first, last)
+        run_fact(house, ds, t.rentals(spark, sf).filter(years).drop("batch_date"), run)
+        run_indicators(house, ds, run, lambda customers: t.segments_of(customers, sf))
+        house.commit(ds, run)
+
+    def build(root):
+        house = _new_house(spark, sf, root)
+        batch_1, batch_2 = t.batch_1(spark, sf), t.batch_2(spark, sf)
+        load(house, "19970101", batch_1, 1995, 1997)
+        load(house, "19990101", batch_2, 1998, 1999)
+        load(house, "20010101", batch_2, 2000, 2000)
+        load(house, "20010101", batch_2, 2000, 2001)
+        vacuum(house)
+
+    return Warehouse(spark, t.once(spark, sf, "house_of_states", build)).indicators()
+
+
+@query
+def kpi_state_revenue_by_car(spark, sf):
+    return kpi_state.revenue_by_car(_kept_states(spark, sf), t.car_dim(spark, sf))
+
+
+@query
+def kpi_state_revenue_by_location(spark, sf):
+    return kpi_state.revenue_by_location(_kept_states(spark, sf), t.location_dim(spark, sf))
+
+
+@query
+def kpi_state_long_rental_ratio(spark, sf):
+    return kpi_state.long_rental_ratio(_kept_states(spark, sf), t.car_dim(spark, sf))
+
+
+@query
+def kpi_state_avg_duration(spark, sf):
+    return kpi_state.average_duration(_kept_states(spark, sf), t.location_dim(spark, sf))
+
+
+@query
+def kpi_state_tickets_by_segment(spark, sf):
+    return kpi_state.tickets_by_segment(_kept_states(spark, sf))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,6 +17,7 @@ from starlane.sinks.fact import replace_days
 from starlane.sinks.tables import replace_table
 from starlane.sources.rentals import write_rentals
 
+ROWS_PER_ARRAY = 200_000
 CALENDAR = ("1996-01-01", "2001-12-31")
 DAY_1, DAY_2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 # The rentals lie in 1995-2001, so the as-of lookups use batches of these days.
@@ -228,9 +230,33 @@ def backdate(spark: SparkSession, files: str, folder: str, days: int) -> None:
             system.setTimes(status.getPath(), old, -1)
 
 
-def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def segments_of(customers: DataFrame, sf_dir: str) -> DataFrame:
     """customer_key -> market segment."""
-    named = table(spark, sf_dir, "customer").select(
+    named = table(customers.sparkSession, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("customer_id"), F.col("c_mktsegment").alias("segment")
     )
-    return customer_dim(spark, sf_dir).join(named, "customer_id").select("customer_key", "segment")
+    return customers.join(named, "customer_id").select("customer_key", "segment")
+
+
+def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments_of(customer_dim(spark, sf_dir), sf_dir)
+
+
+def array_files(spark: SparkSession, sf_dir: str) -> str:
+    """All rentals as files that each hold one JSON array, in a single line."""
+    rows = rentals(spark, sf_dir).drop("batch_date").select(F.to_json(F.struct("*")).alias("value"))
+    files = table(spark, sf_dir, "lineitem").count() // ROWS_PER_ARRAY + 1
+    by_file = W.partitionBy("file").orderBy("value")
+    marked = rows.withColumn("file", F.pmod(F.xxhash64("value"), F.lit(files))).select(
+        "file", "value", F.row_number().over(by_file).alias("place"), F.lead("value").over(by_file).alias("next")
+    )
+    line = F.concat(
+        F.when(F.col("place") == 1, "[").otherwise(""), "value", F.when(F.col("next").isNull(), "]").otherwise(",")
+    )
+
+    def write(path: str) -> None:
+        # Rows come by file and place; no line break parts them.
+        ordered = marked.select("file", "place", line.alias("value")).repartition("file").sortWithinPartitions("file", "place")
+        ordered.select("file", "value").write.partitionBy("file").option("lineSep", " ").text(path)
+
+    return once(spark, sf_dir, "array_files", write)
