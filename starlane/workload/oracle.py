@@ -419,8 +419,10 @@ MISSING = " || ".join(["CASE WHEN customer_id IS NULL THEN 'customer_id' ELSE ''
 DURATION = "CAST(end_date - start_date AS INTEGER) AS rental_duration_days"
 DATED_FACT = f"WITH {FACT} SELECT {FACT_COLUMNS}, batch_date FROM fact"
 
-# The customer history from yearly batches, whatever order they came in.
-YEARLY = VERSIONS.replace("date_trunc('month'", "date_trunc('year'")
+# The customer history from batches of two years, whatever order they came in.
+RARE = VERSIONS.replace(
+    "CAST(date_trunc('month', o_orderdate) AS DATE)", "make_date(year(o_orderdate) - (year(o_orderdate) + 1) % 2, 1, 1)"
+)
 
 RAW_RENTALS = f"""{RENTALS},
 texts AS (
@@ -455,7 +457,7 @@ SELECT CASE WHEN NOT broken THEN rental_id END AS rental_id,
             CASE WHEN o % 7 = 0 THEN 'quantity' END) END AS missing_fields
 FROM lines WHERE broken OR customer_id IS NULL OR o % 13 = 0 OR o % 11 = 0 OR o % 7 = 0""",
     "chk_scd2_incremental": _invariants(),
-    "run_late_days": f"""WITH {YEARLY}
+    "run_late_days": f"""WITH {RARE}
 SELECT customer_id, name, email, phone, effective_date, end_date, is_current FROM history""",
     "src_rental_nested": f"WITH {RENTALS} SELECT {FLAT} FROM rentals",
     "src_customer_batch": f"""WITH {CUSTOMERS}

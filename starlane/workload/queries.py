@@ -517,14 +517,15 @@ def _new_house(spark, sf, root):
 
 @query
 def run_late_days(spark, sf):
-    """The customer history from yearly batches, three of them loaded after later ones."""
+    """The customer history from batches of two years, two of them loaded after later ones."""
     house = bootstrap(spark, fresh_path(spark, "house"))
-    yearly = t.snapshots(spark, sf).withColumn("batch_date", F.trunc("batch_date", "year"))
-    batches = scd2.latest_per_key(yearly, ("seen_at", "seen_key"), ("customer_id", "batch_date"))
-    stored = fresh_path(spark, "yearly")
+    odd_year = F.year("batch_date") - (F.year("batch_date") + 1) % 2
+    rare = t.snapshots(spark, sf).withColumn("batch_date", F.make_date(odd_year, F.lit(1), F.lit(1)))
+    batches = scd2.latest_per_key(rare, ("seen_at", "seen_key"), ("customer_id", "batch_date"))
+    stored = fresh_path(spark, "rare-batches")
     batches.write.parquet(stored)
     batches = spark.read.schema(batches.schema).parquet(stored)
-    for year, late in ((1996, False), (1998, False), (1999, False), (2001, False), (1995, True), (2000, True), (1997, True)):
+    for year, late in ((1997, False), (2001, False), (1995, True), (1999, True)):
         ds = f"{year}0101"
         run = new_run(ds)
         batch = batch_slice(batches, ds).select("customer_id", *CUSTOMER_ATTRIBUTES)

@@ -63,7 +63,7 @@ def test_states_equal_full_checks_over_twenty_days(spark, tmp_path, monkeypatch)
         wrong["closed_by"] = rng.choice([None, "flag", "twice", "earlier"]) if n >= 10 else None
         wrong["opened_by"] = rng.choice([None, "twice", "no key", "same key", "earlier"]) if n >= 10 else None
         load(house, f"202509{n:02}", random_day(rng))
-        if n in (9, 10, 12, 15, 18, 20):
+        if n in (9, 12, 16, 20):
             found = sorted(daily._customer_checks(house, house.commits()))
             assert found == full_checks(house.customer_dim()), n
             seen |= {(check, item) for check, item, count in found if count}
@@ -121,12 +121,12 @@ def test_a_day_opens_no_ended_version_of_older_runs(files):
 
 def test_late_days_and_ordered_days_give_one_warehouse(files, spark, tmp_path):
     house, run = files
-    for n in (1, 2, 3, 4):
+    for n in (1, 2, 4):
         run(n)
     other = bootstrap(spark, str(tmp_path / "other"), buckets=4)
-    for n, is_late in ((1, False), (4, True), (2, True), (3, True)):
+    for n, is_late in ((1, False), (4, True), (2, True)):
         run(n, root=other, is_late=is_late)
-    assert [c.late for c in other.commits()] == [False, False, True, True]  # nothing lay behind the fourth day
+    assert [c.late for c in other.commits()] == [False, False, True]  # nothing lay behind the fourth day
     history, fact = described(house)
     late_history, late_fact = described(other)
     assert late_history == history
@@ -141,7 +141,7 @@ def test_late_days_and_ordered_days_give_one_warehouse(files, spark, tmp_path):
     assert [(c.ds[-2:], c.late) for c in other.commits()] == [("01", False), ("04", False)]
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(2))
 def test_merging_in_any_order_gives_the_ordered_history(spark, seed):
     rng = random.Random(seed)
     days = {n: random_day(rng, 14) for n in range(1, 7)}
