@@ -90,8 +90,9 @@ def _touched(rows: DataFrame, buckets: int) -> set[int]:
 def _write_by_bucket(house: Warehouse, rows: DataFrame, name: str, run: str, buckets: int) -> set[int]:
     """Writes the rows and tells which buckets have any."""
     dealt = rows.withColumn("bucket", bucket_of("customer_id", buckets)).hint("rebalance", "bucket")
-    dealt.write.partitionBy("bucket").parquet(house.path(f"{name}/{run}"))
-    return {int(folder.split("=")[1]) for folder in list_folders(house.spark, house.path(f"{name}/{run}"))}
+    path = house.path(f"{name}/run={run}")
+    dealt.write.partitionBy("bucket").parquet(path)
+    return {int(folder.split("=")[1]) for folder in list_folders(house.spark, path)}
 
 
 def _store_customers(

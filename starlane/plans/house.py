@@ -1,9 +1,9 @@
 """The tables of the warehouse under one root folder, read through its commits.
 
     location_dim, car_dim, date_dim
-    customer_current/<run>/bucket=<n>   current versions of the buckets that a run touched
+    customer_current/run=<run>/bucket=<n>  current versions of the buckets that a run touched
     customer_closed/<run>               the versions a run ended, never changed again
-    customer_past/<run>/bucket=<n>      the state of the ended versions of a touched bucket's customers
+    customer_past/run=<run>/bucket=<n>  the state of the ended versions of a touched bucket's customers
     customer_buckets/<run>              per bucket the runs that hold it, and what the checks count there
     customer_keys/<run>                 the range of the keys that a run gave out
     customer_seen/<run>                 the customers of a run's batch
@@ -28,6 +28,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +71,7 @@ KEYS = T.StructType([
 SEEN = T.StructType([T.StructField("customer_id", T.StringType())])
 DROPPED = T.StructType([T.StructField("customer_key", T.LongType())])
 
+PARTS = [T.StructField("run", T.StringType()), T.StructField("bucket", T.IntegerType())]
 FIRST = "none"  # the run that holds the bucket list of a new warehouse
 BUCKETS = 64
 RUN_TABLES = (
@@ -147,8 +149,19 @@ class Warehouse:
 
     def read_buckets(self, name: str, schema: T.StructType, held: Sequence[tuple[str, int]]) -> DataFrame:
         """The buckets given by run and number; one without rows has no run."""
-        paths = [f"{run}/bucket={bucket}" for run, bucket in held if run]
-        return self.read_runs(name, schema, paths)
+        by_run: dict[str, list[int]] = {}
+        for run, bucket in held:
+            if run:
+                by_run.setdefault(run, []).append(bucket)
+        if not by_run:
+            return self.spark.createDataFrame([], schema)
+        rows = (
+            self.spark.read.schema(T.StructType([*schema.fields, *PARTS])).option("basePath", self.path(name))
+            .parquet(*[self.path(f"{name}/run={run}") for run in by_run])
+        )
+        # Partition columns, so that only these buckets' files are read.
+        wanted = [(F.col("run") == run) & F.col("bucket").isin(buckets) for run, buckets in by_run.items()]
+        return rows.filter(reduce(lambda a, b: a | b, wanted)).select(schema.fieldNames())
 
     def read_current(self, lines: Sequence) -> DataFrame:
         return self.read_buckets("customer_current", CUSTOMER_DIM, [(x.current_run, x.bucket) for x in lines])
@@ -239,7 +252,7 @@ def vacuum(house: Warehouse) -> list[str]:
     gone = []
     for name in RUN_TABLES:
         for run in list_folders(house.spark, house.path(name)):
-            if run not in seen:
+            if run.removeprefix("run=") not in seen:
                 remove_path(house.spark, house.path(f"{name}/{run}"))
                 gone.append(f"{name}/{run}")
     return gone

@@ -198,10 +198,10 @@ def test_a_day_writes_the_buckets_it_touches(spark, tmp_path):
     changed = [(c, n, "new" if c in ("c7", "c8") else e, p) for c, n, e, p in everyone]
     second = load(house, "20250902", changed)
     third = load(house, "20250903", changed)
-    folders = {run: os.listdir(f"{house.root}/customer_current/{run}") for run in (first, second, third)}
+    folders = {run: os.listdir(f"{house.root}/customer_current/run={run}") for run in (first, second, third)}
     buckets = {run: [f for f in names if f.startswith("bucket=")] for run, names in folders.items()}
     assert len(buckets[first]) == 16 and 1 <= len(buckets[second]) <= 2 and buckets[third] == []
-    written = {run: size_of(f"{house.root}/customer_current/{run}") for run in folders}
+    written = {run: size_of(f"{house.root}/customer_current/run={run}") for run in folders}
     assert written[second] < written[first] / 7
     assert house.customer_dim().count() == 4002 and house.customer_dim("20250901").count() == 4000
     assert house.current_customers(house.commits()).filter("email = 'new'").count() == 2
