@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from starlane.functions.dates import iso_date
 from starlane.functions.measures import money
+from starlane.operators import suggest
 from starlane.operators.keys import shown
 from starlane.schemas import CUSTOMER_ATTRIBUTES, FACT_REFERENCES
 
@@ -187,6 +188,22 @@ def unresolved_lookups(flat: DataFrame, dims: Mapping[str, DataFrame]) -> DataFr
     )
 
 
+def lookup_suggestions(unresolved: DataFrame, dims: Mapping[str, DataFrame], edits: int = suggest.EDITS) -> DataFrame:
+    """Unresolved cars and locations with the known value nearest in spelling, NULL if none is near.
+
+    ``unresolved`` is the report of ``unresolved_lookups``.
+    """
+    location = dims["location_dim"].select(F.col("location_name").alias("text"))
+    known = _union([
+        dims["car_dim"].select(shown("make", "model", "year").alias("text")).withColumn("kind", F.lit(CAR)),
+        location.withColumn("kind", F.lit("pickup_location")), location.withColumn("kind", F.lit("dropoff_location")),
+    ])
+    open_values = unresolved.filter(F.col("role").isin(CAR, "pickup_location", "dropoff_location"))
+    found = suggest.nearest(open_values.select(F.col("role").alias("kind"), F.col("natural_value").alias("text")), known, edits)
+    named = found.select(F.col("kind").alias("role"), F.col("text").alias("natural_value"), "suggestion", "edits")
+    return open_values.join(named, ["role", "natural_value"], "left")
+
+
 def batch_conflicts(batch: DataFrame) -> DataFrame:
     """Customers whom one batch gives different attributes, with the number of different rows."""
     return (

@@ -445,6 +445,34 @@ lines AS (
 )"""
 
 ORACLE: dict[str, str] = {
+    "chk_lookup_suggestions": f"""WITH {MEASURED},{CAR_DIM},{LOCATION_DIM},
+spelt AS (
+  SELECT CASE o % 5 WHEN 0 THEN replace(make, '#', '') WHEN 1 THEN reverse(make) ELSE make END AS make,
+         CASE WHEN o % 7 = 0 THEN concat(model, chr(39), 's') ELSE model END AS model, year,
+         CASE WHEN o % 3 = 0 THEN replace(pickup_location, '_', ' -') ELSE pickup_location END AS pickup_location, dropoff_location
+  FROM (SELECT *, CAST(split_part(rental_id, '-', 1) AS BIGINT) AS o FROM measured)
+),
+named AS (
+  SELECT 'car' AS role, make || '|' || model || '|' || CAST(year AS VARCHAR) AS natural_value FROM spelt
+  UNION ALL SELECT 'pickup_location', pickup_location FROM spelt
+  UNION ALL SELECT 'dropoff_location', dropoff_location FROM spelt
+),
+known AS (
+  SELECT 'car' AS role, make || '|' || model || '|' || CAST(year AS VARCHAR) AS name FROM car_dim
+  UNION ALL SELECT 'pickup_location', location_name FROM location_dim
+  UNION ALL SELECT 'dropoff_location', location_name FROM location_dim
+),
+unresolved AS (
+  SELECT role, natural_value, count(*) AS rentals FROM named
+  WHERE (role, natural_value) NOT IN (SELECT (role, name) FROM known) GROUP BY role, natural_value
+),
+near AS (
+  SELECT u.role, natural_value, CAST(levenshtein(natural_value, name) AS INTEGER) AS edits, name
+  FROM unresolved u JOIN known k ON u.role = k.role AND levenshtein(natural_value, name) <= 2
+),
+best AS (SELECT role, natural_value, min({{'e': edits, 'n': name}}) AS b FROM near GROUP BY role, natural_value)
+SELECT u.role, u.natural_value, rentals, b['n'] AS suggestion, b['e'] AS edits
+FROM unresolved u LEFT JOIN best USING (role, natural_value)""",
     "src_rental_array": f"""WITH {RENTALS}
 SELECT {FLAT.replace("batch_date", "").rstrip().rstrip(",")} FROM rentals""",
     "flt_rejected_raw": f"""WITH {RAW_RENTALS}

@@ -439,6 +439,23 @@ def chk_unresolved_lookups(spark, sf):
     )
 
 
+@query
+def chk_lookup_suggestions(spark, sf):
+    """Rentals with misspelt cars and locations, and what they may mean."""
+    order = F.split_part("rental_id", F.lit("-"), F.lit(1)).cast("long")
+    make = (
+        F.when(order % 5 == 0, F.replace("make", F.lit("#"), F.lit("")))
+        .when(order % 5 == 1, F.reverse("make")).otherwise(F.col("make"))
+    )
+    model = F.when(order % 7 == 0, F.concat("model", F.lit("'s"))).otherwise(F.col("model"))
+    place = F.when(order % 3 == 0, F.replace("pickup_location", F.lit("_"), F.lit(" -"))).otherwise(F.col("pickup_location"))
+    flat = R.flatten(R.valid(t.rentals(spark, sf))).withColumns({"make": make, "model": model, "pickup_location": place})
+    dims_now = t.dimensions(spark, sf)
+    path = fresh_path(spark, "unresolved")
+    checks.unresolved_lookups(flat, dims_now).write.parquet(path)
+    return checks.lookup_suggestions(spark.read.parquet(path), dims_now)
+
+
 @query
 def chk_scd2_invariants(spark, sf):
     documented = checks.scd2_invariants(t.customer_dim(spark, sf))
