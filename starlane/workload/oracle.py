@@ -473,6 +473,66 @@ near AS (
 best AS (SELECT role, natural_value, min({{'e': edits, 'n': name}}) AS b FROM near GROUP BY role, natural_value)
 SELECT u.role, u.natural_value, rentals, b['n'] AS suggestion, b['e'] AS edits
 FROM unresolved u LEFT JOIN best USING (role, natural_value)""",
+    "src_load_ledger": f"""WITH {RENTALS}
+SELECT CAST(batch_date AS VARCHAR) AS batch_date, count(*) AS reported_rows, count(*) AS rows,
+       CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount, batch_date = DATE '1995-01-01' AS changed
+FROM rentals GROUP BY batch_date""",
+    "src_schema_evolution": f"""WITH {RENTALS}
+SELECT rental_id, customer_id, make, CAST(year AS BIGINT) AS car_year, CASE WHEN y >= 2000 THEN upper(make) END AS label,
+       CASE WHEN y > 1996 THEN CAST(start_date AS VARCHAR) END AS start_date,
+       CAST(CAST(CASE WHEN y BETWEEN 1997 AND 1999 THEN CAST(amount AS DECIMAL(14,2)) ELSE floor(amount) END
+            AS DECIMAL(21,2)) AS VARCHAR) AS amount,
+       CAST(quantity AS BIGINT) AS quantity, CASE WHEN y >= 2000 THEN 'web' END AS channel, CAST(y AS BIGINT) AS year
+FROM (SELECT *, year(batch_date) AS y FROM rentals)""",
+    "chk_drift": f"""WITH {RENTALS},
+shifted AS (
+  SELECT batch_date AS day, CASE WHEN year(batch_date) = 1998 THEN amount * 1.5::DOUBLE ELSE amount END AS amount,
+         CAST(end_date - start_date AS DOUBLE) AS rental_duration_days, make,
+         CASE WHEN year(batch_date) = 1999 AND quantity % 2 = 0 THEN 'NATION_0' ELSE pickup_location END AS pickup_location,
+         CASE WHEN customer_id IS NULL THEN 'true' ELSE 'false' END AS customer
+  FROM rentals
+),
+days AS (SELECT day, count(*) AS total, lag(day) OVER (ORDER BY day) AS previous, lag(count(*)) OVER (ORDER BY day) AS previous_total
+         FROM shifted GROUP BY day),
+numbers AS (
+  SELECT day, column_name, CAST(round(CAST(value AS DECIMAL(28,6)) * 100, 0) AS BIGINT) AS v
+  FROM (UNPIVOT (SELECT day, amount, rental_duration_days FROM shifted) ON amount, rental_duration_days INTO NAME column_name VALUE value)
+),
+steps AS (
+  SELECT day, column_name, v // u * u AS item, count(*) AS n
+  FROM (SELECT *, CAST(pow(10, greatest(length(CAST(abs(v) AS VARCHAR)) - 3, 0)) AS BIGINT) AS u FROM numbers) GROUP BY ALL
+),
+words AS (
+  SELECT day, column_name, value, count(*) AS n
+  FROM (UNPIVOT (SELECT day, make, pickup_location, customer FROM shifted) ON make, pickup_location, customer INTO NAME column_name VALUE value)
+  GROUP BY ALL
+),
+frequent AS (
+  SELECT w.day, column_name, CASE WHEN n * 1000 >= total THEN value ELSE '<other>' END AS item, sum(n) AS n
+  FROM words w JOIN days d ON w.day = d.day GROUP BY ALL
+),
+number_sides AS (
+  SELECT d.day, s.column_name, s.item, sum(CASE WHEN s.day = d.day THEN n ELSE 0 END)::HUGEINT AS now,
+         sum(CASE WHEN s.day = d.previous THEN n ELSE 0 END)::HUGEINT AS earlier
+  FROM days d JOIN steps s ON s.day IN (d.day, d.previous) WHERE d.previous IS NOT NULL GROUP BY ALL
+),
+number_apart AS (
+  SELECT s.day, column_name, item, now, abs(sum(now) OVER w * previous_total - sum(earlier) OVER w * total) AS apart, total, previous, previous_total
+  FROM number_sides s JOIN days d ON s.day = d.day WINDOW w AS (PARTITION BY s.day, column_name ORDER BY item)
+),
+word_sides AS (
+  SELECT d.day, s.column_name, s.item, sum(CASE WHEN s.day = d.day THEN n ELSE 0 END)::HUGEINT AS now,
+         sum(CASE WHEN s.day = d.previous THEN n ELSE 0 END)::HUGEINT AS earlier
+  FROM days d JOIN frequent s ON s.day IN (d.day, d.previous) WHERE d.previous IS NOT NULL GROUP BY ALL
+)
+SELECT column_name, day, any_value(previous) AS previous, any_value(total) AS rows, CAST(0 AS BIGINT) AS nulls,
+       CAST(sum(CASE WHEN item <= 0 THEN now ELSE 0 END) AS BIGINT) AS not_positive,
+       CAST(max(apart) * 1000 // (any_value(total)::HUGEINT * any_value(previous_total)) AS BIGINT) AS distance_per_mille
+FROM number_apart GROUP BY column_name, day
+UNION ALL
+SELECT column_name, s.day, any_value(previous), any_value(total), NULL, NULL,
+       CAST(sum(abs(now * previous_total - earlier * total)) * 500 // (any_value(total)::HUGEINT * any_value(previous_total)) AS BIGINT)
+FROM word_sides s JOIN days d ON s.day = d.day GROUP BY column_name, s.day""",
     "src_rental_array": f"""WITH {RENTALS}
 SELECT {FLAT.replace("batch_date", "").rstrip().rstrip(",")} FROM rentals""",
     "flt_rejected_raw": f"""WITH {RAW_RENTALS}

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from starlane.functions.dates import NOT_GIVEN, days_between, iso_date, run_date, yyyymmdd
 from starlane.functions.measures import average_daily_amount, is_long, total_amount
-from starlane.operators import checks, dims, kpi_state, kpis, lookups, rentals as R, scd2, version_state
+from starlane.operators import checks, dims, drift, kpi_state, kpis, lookups, rentals as R, scd2, version_state
 from starlane.operators.keys import assign_keys
 from starlane.plans.daily import (
     Warehouse, bootstrap, new_run, run_customers, run_fact, run_indicators, run_late_customers, vacuum,
@@ -22,8 +22,10 @@ from starlane.session import fresh_path, use_adaptive
 from starlane.sinks.fact import append_fact, replace_days
 from starlane.sources.customers import read_customers, write_customers
 from starlane.sources.drift import drift_report
+from starlane.sources.evolution import EvolvingTable
 from starlane.sources.rentals import parse_rentals, read_objects, read_rentals, write_rentals
 from starlane.sources.slices import batch_slice
+from starlane.streaming.ledger import Ledger
 from starlane.streaming.load_once import load_once
 from starlane.workload import tables as t
 
@@ -148,6 +150,51 @@ def src_load_once(spark, sf):
     return R.flatten(spark.read.schema(dated).parquet(target))
 
 
+@query
+def src_load_ledger(spark, sf):
+    """Load, load again, then load late files while one folder's files are replaced under their names."""
+    files, root = fresh_path(spark, "arrivals"), fresh_path(spark, "ledger")
+    ledger = Ledger(spark, root, RENTAL)
+    late = F.col("batch_date") >= F.lit(LATE_ARRIVALS).cast("date")
+    write_rentals(t.rentals(spark, sf).filter(~late), files)
+    reports = [ledger.load(files), ledger.load(files)]
+    write_rentals(t.rentals(spark, sf).filter(late), files, mode="append")
+    t.backdate(spark, files, f"batch_date={LATE_ARRIVALS}", days=30)
+    t.replace_files(spark, files, "batch_date=1995-01-01", "batch_date=1996-01-01")
+    reports.append(ledger.load(files))
+    report = reports[0].unionByName(reports[1]).unionByName(reports[2])
+    told = report.groupBy("folder").agg(
+        F.sum(F.when(F.col("status") == "new", F.col("rows"))).alias("reported_rows"),
+        F.max(F.col("status") == "changed").alias("changed"),
+    )
+    loaded = ledger.rows().groupBy("folder").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("amount"),
+    )
+    return told.join(loaded, "folder").select(
+        F.split_part("folder", F.lit("="), F.lit(-1)).alias("batch_date"), "reported_rows", "rows", "amount", "changed"
+    )
+
+
+@query
+def src_schema_evolution(spark, sf):
+    """Files of three times: whole amounts, then amounts in cents, then a new field in the car and a channel."""
+    table = EvolvingTable(spark, fresh_path(spark, "evolving"))
+    rentals = t.rentals(spark, sf).withColumn("year", F.year("batch_date")).drop("batch_date")
+    whole = rentals.filter("year <= 1996").withColumn("amount", F.floor("amount").cast("int")).drop("rental_period")
+    table.append(whole.withColumn("quantity", F.col("quantity").cast("smallint")))
+    table.append(rentals.filter("year BETWEEN 1997 AND 1999").withColumn("amount", F.col("amount").cast("decimal(14,2)")))
+    last = rentals.filter("year >= 2000").withColumns({
+        "car": F.struct("car.*", F.upper("car.make").alias("label")), "channel": F.lit("web"), "amount": F.col("amount").cast("bigint"),
+    })
+    path = fresh_path(spark, "last-rentals")
+    last.write.json(path)
+    table.append_json(path)
+    return table.read().select(
+        "rental_id", "customer_id", "car.make", F.col("car.year").alias("car_year"), "car.label", "rental_period.start_date",
+        F.col("amount").cast("string").alias("amount"), "quantity", "channel", "year",
+    )
+
+
 # Projections, filters, expressions
 
 
@@ -465,6 +512,26 @@ def chk_scd2_invariants(spark, sf):
     )
 
 
+@query
+def chk_drift(spark, sf):
+    """Years against the years before; the rentals of 1998 cost half as much again, those of 1999 begin in few places."""
+    year = F.year("batch_date")
+    rows = R.derive(_flat(spark, sf)).withColumns({
+        "amount": F.when(year == 1998, F.col("amount") * 1.5).otherwise(F.col("amount")),
+        "pickup_location": F.when((year == 1999) & (F.col("quantity") % 2 == 0), "NATION_0").otherwise(F.col("pickup_location")),
+        "customer": F.col("customer_id").isNull().cast("string"),
+    })
+    # Profiles of two halves add up.
+    halves = [rows.filter("quantity <= 25"), rows.filter("quantity > 25 OR quantity IS NULL")]
+    numbers = drift.added([drift.number_profile(h, "batch_date", ["amount", "rental_duration_days"]) for h in halves])
+    words = drift.text_profile(rows, "batch_date", ["make", "pickup_location", "customer"])
+    of_words = drift.text_drift(words).select(
+        "column_name", "day", "previous", "rows", F.lit(None).cast("long").alias("nulls"),
+        F.lit(None).cast("long").alias("not_positive"), "distance_per_mille",
+    )
+    return drift.number_drift(numbers).unionByName(of_words)
+
+
 @query
 def chk_scd2_incremental(spark, sf):
     """The same rules from states of customers, ended versions first, current ones added."""

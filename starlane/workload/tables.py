@@ -230,6 +230,18 @@ def backdate(spark: SparkSession, files: str, folder: str, days: int) -> None:
             system.setTimes(status.getPath(), old, -1)
 
 
+def replace_files(spark: SparkSession, files: str, folder: str, other: str) -> None:
+    """Give every file of a folder the content of the first file of another one, under its old name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(files).getFileSystem(spark._jsc.hadoopConfiguration())
+    utility, conf = spark._jvm.org.apache.hadoop.fs.FileUtil, spark._jsc.hadoopConfiguration()
+    if not (system.exists(path(f"{files}/{folder}")) and system.exists(path(f"{files}/{other}"))):
+        return
+    first = system.listStatus(path(f"{files}/{other}"))[0].getPath()
+    for status in system.listStatus(path(f"{files}/{folder}")):
+        utility.copy(system, first, system, status.getPath(), False, True, conf)
+
+
 def segments_of(customers: DataFrame, sf_dir: str) -> DataFrame:
     """customer_key -> market segment."""
     named = table(customers.sparkSession, sf_dir, "customer").select(
