@@ -1,5 +1,10 @@
 """Headline queries, timed. Prints one JSON line.
 
+The large tables are first written anew in files of ``ROWS_PER_FILE`` rows, as a table that grew
+by loads has them: a file of one row group is read by one task, and its time is that of one core.
+``BENCH_COPIES=10`` writes them that many times over, with keys of their own, and with a third of
+all lines on one order and a third of all orders on one customer.
+
 Each query runs once to warm up; the value is the median of the runs behind it, with
 every row written to the ``noop`` sink. Tables that a warehouse keeps are built once per
 session and timed as queries of their own (``build_*``, one run). ``detail`` has, for each
@@ -17,6 +22,9 @@ import tempfile
 import time
 from collections import defaultdict
 
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
 from starlane.session import local_session
 from starlane.workload import tables
 from starlane.workload.queries import QUERIES
@@ -34,6 +42,31 @@ HEADLINES = (
 BUILDS = {"build_fact": tables.fact, "build_customer_dim": tables.customer_dim_early}
 
 
+ROWS_PER_FILE = 50_000
+GROWING, FIXED = ("lineitem", "orders"), ("region", "nation", "customer", "supplier", "part")
+
+
+def spread_tables(spark: SparkSession, sf_dir: str, copies: int) -> str:
+    """A folder with the same tables, the large ones in many files and ``copies`` times over."""
+    out = tempfile.mkdtemp(prefix="bench-tables-")
+    for name in FIXED:
+        os.symlink(f"{sf_dir}/{name}.parquet", f"{out}/{name}.parquet")
+    for name in GROWING:
+        rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        key = {"lineitem": "l_orderkey", "orders": "o_orderkey"}[name]
+        if copies > 1:
+            step = spark.read.parquet(f"{sf_dir}/orders.parquet").agg(F.max("o_orderkey")).first()[0] + 1
+            rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+            rows = rows.withColumn(key, F.col(key) + F.col("copy") * step).drop("copy")
+            if name == "lineitem":
+                rows = rows.withColumn(key, F.when(F.xxhash64("*") % 3 == 0, F.lit(1)).otherwise(F.col(key)))
+            else:
+                rows = rows.withColumn("o_custkey", F.when(F.col(key) % 3 == 0, F.lit(4)).otherwise(F.col("o_custkey")))
+            rows = rows.repartition(copies * 4)
+        rows.write.option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{out}/{name}.parquet")
+    return out
+
+
 def moved(folder: str) -> dict[str, dict[str, float]]:
     """Shuffle, spill and rows read of each job group, from the event log."""
     group_of: dict[int, str] = {}
@@ -56,6 +89,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "5"))
+    copies = int(os.environ.get("BENCH_COPIES", "1"))
     names = os.environ.get("BENCH_QUERIES", ",".join(HEADLINES)).split(",")
     events = tempfile.mkdtemp(prefix="bench-events-")
     spark = local_session(cpus, shuffle_partitions=8, **{
@@ -63,6 +97,9 @@ def main() -> None:
         "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false",
     })
 
+    sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
+    sf_dir = spread_tables(spark, sf_dir, copies)
+
     def timed(action) -> float:
         begin = time.perf_counter()
         action()
@@ -91,7 +128,8 @@ def main() -> None:
         "value": round(sum(seconds[n] for n in names), 3),
         "unit": "sec",
         "queries": seconds,
-        "sf": sf_dir.rstrip("/").rsplit("sf", 1)[-1],
+        "sf": sf,
+        "copies": copies,
         "detail": detail,
         "runs": runs,
         "cpus": cpus,
