@@ -26,7 +26,11 @@ a whole word written alike, with a title or without; a text whose names have no
 keeps them.
 
 Collision check: a surrogate that equals another entity's surrogate or a real entity
-of the corpus is drawn again, all but one of the equals each, until none is left.
+of the corpus is drawn again, all but one of the equals each, until none is left. Every few
+attempts make a surrogate longer, also where its shape is otherwise kept (an access key, a card
+number), so entities of a shape that has few surrogates come out too. Upper-case names, names
+without a title, IPv6 addresses, bank account numbers and national numbers other than
+123-45-6789 are not looked for.
 
 Defined results: a null text stays null, an empty one empty, neither has entities.
 Repeated rows are replaced alike. Of a table without rows comes none. All other columns
@@ -35,7 +39,7 @@ are passed through, whatever their names.
 
 from __future__ import annotations
 
-from functools import reduce
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -197,6 +201,20 @@ def _name(real: Column, digest: Column, kind: Column, attempt: Column) -> Column
     return F.initcap(F.when(script == "cyrillic", in_script("cyrillic")).when(script == "greek", in_script("greek")).otherwise(in_script("latin")))
 
 
+def _longer(shaped: Column, real: Column, digest: Column, attempt: Column, kind: Column) -> Column:
+    """With more characters behind it every few attempts, so that a shape of few surrogates has always room for one more."""
+    letters = (
+        F.when(kind.isin("phone", "ssn", "card"), F.lit("0123456789"))
+        .when(real.rlike(r"\A[0-9A-F]+\z"), F.lit("0123456789ABCDEF")).when(real.rlike(r"\A[0-9a-f]+\z"), F.lit("0123456789abcdef"))
+        .otherwise(F.lit("0123456789abcdefghijklmnopqrstuvwxyz"))
+    )
+    more = F.transform(
+        F.filter(F.sequence(F.lit(0), F.floor(attempt / 3).cast("int")), lambda i: i > 0),
+        lambda i: F.substring(letters, F.pmod(_byte(digest, F.lit(64) - i), F.length(letters)) + 1, F.lit(1)),
+    )
+    return F.concat(shaped, F.array_join(more, ""))
+
+
 def _surrogate(kind: Column, real: Column, attempt: Column, key: str) -> Column:
     seed = F.concat_ws("\u0000", F.lit(key), kind, real, attempt.cast("string"))
     digest = F.sha2(seed, 512)
@@ -204,12 +222,15 @@ def _surrogate(kind: Column, real: Column, attempt: Column, key: str) -> Column:
     body = F.substring(shaped, F.lit(1), F.length(shaped) - 1)
     last = F.pmod(_check_sum(real) - _check_sum(F.concat(body, F.lit("0"))), F.lit(10))
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (F.pmod(_byte(digest, i), F.lit(254)) + 1).cast("string")), ".")
-    domain = F.concat(_shaped(F.regexp_extract(real, r"\A(.*)\.[^.]*\z", 1), digest, F.lit(0)), F.lit("."), F.substring_index(real, ".", -1))
+    before_top = F.regexp_extract(real, r"\A(.*)\.[^.]*\z", 1)
+    domain = F.concat(
+        _longer(_shaped(before_top, digest, F.lit(0)), F.lit("."), digest, attempt, kind), F.lit("."), F.substring_index(real, ".", -1)
+    )
     return (
         F.when(kind == "email", domain).when(kind == "ip", octets)
-        .when(kind == "card", F.concat(body, last.cast("string")))
+        .when((kind == "card") & (attempt < 3), F.concat(body, last.cast("string")))
         .when(kind.isin("given", "given_male", "given_female", "surname"), _name(real, digest, kind, attempt))
-        .otherwise(shaped)
+        .otherwise(_longer(shaped, real, digest, attempt, kind))
     )
 
 
@@ -220,32 +241,25 @@ def _group(kind: Column) -> Column:
 
 def assign(entities: DataFrame, key: str) -> DataFrame:
     """``kind, real, surrogate`` for distinct ``kind, real``; surrogates differ and are no real entity."""
-    spark = entities.sparkSession
-
-    def stored(frame: DataFrame) -> DataFrame:
-        path = fresh_path(spark, "surrogates")
-        frame.write.parquet(path)
-        return spark.read.parquet(path)
-
-    def drawn(frame: DataFrame, attempt: int) -> DataFrame:
-        return frame.select("kind", "real", _surrogate(F.col("kind"), F.col("real"), F.lit(attempt), key).alias("surrogate"))
-
+    spark, path = entities.sparkSession, fresh_path(entities.sparkSession, "surrogates")
     real = entities.select(_group(F.col("kind")).alias("group"), F.col("real").alias("surrogate")).distinct()
-    done: list[DataFrame] = []
     open_ = entities
-    for attempt in range(1000):
-        tried = drawn(open_, attempt).withColumn("group", _group(F.col("kind")))
+    for attempt in count():
+        tried = open_.select(
+            "kind", "real", _surrogate(F.col("kind"), F.col("real"), F.lit(attempt), key).alias("surrogate")
+        ).withColumn("group", _group(F.col("kind")))
         first = tried.groupBy("group", "surrogate").agg(F.min(F.struct("real", "kind")).alias("winner"))
         free = first.join(real, ["group", "surrogate"], "left_anti")
-        if done:
-            taken = reduce(DataFrame.unionByName, done).select(_group(F.col("kind")).alias("group"), "surrogate")
+        if attempt:
+            taken = spark.read.parquet(f"{path}/done").select(_group(F.col("kind")).alias("group"), "surrogate")
             free = free.join(taken, ["group", "surrogate"], "left_anti")
-        won = stored(free.select("winner.kind", "winner.real", "surrogate"))
-        done.append(won)
-        open_ = stored(open_.join(won, ["kind", "real"], "left_anti"))
+        # One table holds all rounds.
+        free.select("winner.kind", "winner.real", "surrogate").write.parquet(f"{path}/done/attempt={attempt}")
+        won = spark.read.parquet(f"{path}/done/attempt={attempt}")
+        open_.join(won, ["kind", "real"], "left_anti").write.parquet(f"{path}/open/{attempt}")
+        open_ = spark.read.parquet(f"{path}/open/{attempt}")
         if open_.isEmpty():
-            return reduce(DataFrame.unionByName, done)
-    raise RuntimeError("more entities of one shape than surrogates of that shape")
+            return spark.read.parquet(f"{path}/done").select("kind", "real", "surrogate")
 
 
 def _written(entity: Column, parts: Column) -> Column:
@@ -254,6 +268,8 @@ def _written(entity: Column, parts: Column) -> Column:
     digits = F.array_join(F.transform(F.split(entity, ""), lambda c, i: F.when(
         c.rlike(r"\d"), F.substring(new, F.length(F.regexp_replace(F.substring(entity, F.lit(1), i), r"\D", "")) + 1, F.lit(1))
     ).otherwise(c)), "")
+    # A longer surrogate has its other digits behind.
+    digits = F.concat(digits, F.substring(new, F.length(F.regexp_replace(entity, r"\D", "")) + 1, F.length(new)))
     names = F.when(entity.rlike(rf"\A(?:{PATTERNS['person']})\z"), _names(entity)).otherwise(entity)
     title = F.substring(entity, F.lit(1), F.length(entity) - F.length(names))
     # What stands between the parts of a name stays.
@@ -294,12 +310,16 @@ def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     )
     parts = spark.read.parquet(path)
     surrogates = assign(parts.select("kind", "real").distinct(), key)
-    lists = (
+    # Stored, so that the rows of one text, however many, can be parted when they meet their list.
+    path = fresh_path(spark, "lists")
+    (
         parts.join(surrogates, ["kind", "real"])
         .groupBy("name", "pos", "entity").agg(F.sort_array(F.collect_list(F.struct("at", "kind", "surrogate"))).alias("parts"))
         .select("name", "pos", _written(F.col("entity"), F.col("parts")).alias("surrogate"), F.regexp_replace(F.col("parts")[0]["kind"], "^(given.*|surname)$", "person").alias("kind"))
         .groupBy("name").agg(F.sort_array(F.collect_list(F.struct("pos", "kind", "surrogate"))).alias("new"))
+        .write.parquet(path)
     )
+    lists = spark.read.parquet(path)
     plain = rows.filter(F.size("found") == 0).select(
         "row", "text", F.array().cast("array<struct<kind:string,surrogate:string>>").alias("entities")
     )

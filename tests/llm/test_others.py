@@ -347,3 +347,23 @@ def test_nothing_to_learn_from(spark, table):
     assert {r.score for r in toxicity.score(docs, toxicity.fit(docs, none)).collect()} == {0.0}
     model = toxicity.learn(["you scum"] * 3, ["fine words"] * 3)
     assert toxicity.score(docs, model).count() == 2 and toxicity.score(table([]), model).count() == 0
+
+
+def test_shapes_of_few_surrogates_have_room(table):
+    """Ten secrets of one digit each use up their shape; so do telephone numbers and addresses of few letters."""
+    rows = [(i, f'password="-------{i}"') for i in range(10)] + [(100 + i, f"a@{c}.co") for i, c in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows += [(200, "call +1 22 333 4444"), (201, "call +1 22 333 4445"), (202, 'token = "========"')]
+    found = {r.row.doc_id: r for r in pii.replace(table(rows), "key").collect()}
+    secrets = [found[i].entities[0].surrogate for i in range(10)]
+    assert len(set(secrets)) == 10 and not {f"-------{i}" for i in range(10)} & set(secrets)
+    assert all(s.startswith("-------") and found[i].text == f'password="{s}"' for i, s in enumerate(secrets))
+    addresses = {found[100 + i].text for i in range(26)}
+    assert len(addresses) == 26 and not addresses & {f"a@{c}.co" for c in "abcdefghijklmnopqrstuvwxyz"}
+    assert all(a.endswith(".co") and a.count("@") == 1 for a in addresses)
+    assert found[202].text == 'token = "========"' and found[200].text != found[201].text
+
+
+def test_equal_texts_are_parted_when_they_meet_their_list(spark, table):
+    rows = table([(1, "mail a@example.org"), (2, "mail b@example.org")], repeat=40)
+    plan = pii.replace(rows, "key")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1 and "Aggregate" not in plan  # both sides come straight from their exchanges
