@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from starlane.plans.house import (
     Commit, ConflictError, Warehouse, bucket_of, vacuum,
 )
 from starlane.schemas import CAR_DIM, CUSTOMER_DIM, DATE_DIM, DATED_FACT, LOCATION_DIM, RENTAL
-from starlane.session import fresh_path, list_folders, make_folder, remove_path, use_adaptive
+from starlane.session import fresh_path, list_folders, make_folder, remove_path, scratch, use_adaptive
 from starlane.sinks.tables import conform, replace_table
 from starlane.sources.customers import read_customers
 from starlane.sources.rentals import parse_rentals, read_objects
@@ -142,6 +142,17 @@ def _store_seen(house: Warehouse, batch: DataFrame, run: str) -> None:
     replace_table(ids, house.path(f"customer_seen/{run}"), SEEN)
 
 
+def _clean(step: Callable) -> Callable:
+    """The step leaves no intermediate table: all it gives is in the house."""
+    @wraps(step)
+    def run(house: Warehouse, *args, **options):
+        with scratch(house.spark):
+            return step(house, *args, **options)
+
+    return run
+
+
+@_clean
 def run_customers(house: Warehouse, ds: str, batch: DataFrame, run: str) -> None:
     """Close and insert one customer file on top of the days before.
 
@@ -160,9 +171,9 @@ def run_customers(house: Warehouse, ds: str, batch: DataFrame, run: str) -> None
         house, run, before, touched, scd2.kept_by(found, current).unionByName(opened), scd2.closed_by(found, at), opened
     )
     _store_seen(house, batch, run)
-    remove_path(house.spark, staged)
 
 
+@_clean
 def run_late_customers(house: Warehouse, ds: str, batch: DataFrame, run: str) -> None:
     """Merge one customer file between the days around it, as if all had come in order."""
     spark, before, at = house.spark, house.commits(), _midnight(ds)
@@ -190,8 +201,6 @@ def run_late_customers(house: Warehouse, ds: str, batch: DataFrame, run: str) ->
         kept.select(CUSTOMER_DIM.fieldNames()).unionByName(added.filter("is_current")),
         added.filter("NOT is_current"), added.filter(F.col("customer_key") > highest), again=found.select("customer_id"),
     )
-    remove_path(spark, staged)
-    remove_path(spark, new)
 
 
 def _customers_of(house: Warehouse, ds: str, run: str, is_late: bool) -> DataFrame:
@@ -219,6 +228,7 @@ def load_day(rentals: DataFrame, ds: str) -> DataFrame:
     return spark.read.schema(parse_rentals(rentals).schema).parquet(path)
 
 
+@_clean
 def run_fact(
     house: Warehouse, ds: str, rentals: DataFrame, run: str, customer: str = "current", is_late: bool = False
 ) -> None:
@@ -311,6 +321,7 @@ def run_checks(
     replace_table(reduce(DataFrame.unionByName, found), house.path(f"checks/{run}"), CHECK)
 
 
+@_clean
 def run_day(
     house: Warehouse,
     ds: str,

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -87,8 +90,28 @@ def list_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(there) if s.isDirectory())
 
 
+_open: ContextVar[list[str] | None] = ContextVar("open", default=None)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new name in the shared folder; inside ``scratch`` what is written there goes with its end."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _open.get() is not None:
+        _open.get().append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the intermediate tables made inside; what is to last must be written elsewhere by then."""
+    paths: list[str] = []
+    token = _open.set(paths)
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for path in paths:
+            remove_path(spark, path)
 
 
 def create_new(spark: SparkSession, path: str, text: str) -> bool:

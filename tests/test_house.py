@@ -11,7 +11,7 @@ from samples import CUSTOMERS, RENTALS
 from starlane.operators import checks, kpi_state, kpis, late, scd2
 from starlane.plans import daily
 from starlane.plans.daily import ConflictError, bootstrap, new_run, run_customers, run_day, run_late_customers, vacuum
-from starlane.session import remove_path
+from starlane.session import fresh_path, remove_path, scratch, shared_folder
 
 BATCH = "customer_id string, name string, email string, phone string"
 
@@ -169,6 +169,26 @@ def test_merging_in_any_order_gives_the_ordered_history(spark, seed):
     assert dim.select("customer_key").distinct().count() == dim.count()
 
 
+def test_a_run_leaves_no_intermediate_table(files, spark):
+    house, run = files
+
+    def there():
+        folder = shared_folder(spark).removeprefix("file:")
+        return set(os.listdir(folder)) if os.path.isdir(folder) else set()
+
+    run(1)
+    before = there()
+    run(2)
+    assert there() == before and house.fact().count() > 0
+    kept = fresh_path(spark, "kept")
+    with scratch(spark):
+        gone = fresh_path(spark, "gone")
+        for path in (kept, gone):
+            spark.range(1).write.parquet(path)
+    assert there() == before | {os.path.basename(kept)}
+    remove_path(spark, kept)
+
+
 def test_of_two_runs_at_once_one_commits(spark, tmp_path):
     house = bootstrap(spark, str(tmp_path / "house"), buckets=2)
     load(house, "20250901", [("c1", "a", "x", "1")])
