@@ -228,6 +228,44 @@ def test_passages_of_parts_that_occur_elsewhere_are_found(table, spark):
     assert got.get(frozenset((2, 3)), 0) >= 70 and got.get(frozenset((31, 32)), 0) >= 99
 
 
+def test_documents_whose_seeds_all_occur_first_in_others_meet(table):
+    rng = random.Random(21)
+    long = words(rng, 60)
+    # Each stretch of 30 words, which holds all seeds, stands in documents of smaller keys.
+    stretches = [long[i:i + 30] for i in range(0, 31, 10)]
+    texts = [" ".join(words(rng, 20) + long + words(rng, 20)) for _ in range(20)]
+    more = [(100 + 100 * i + j, " ".join(words(rng, 9) + p + [f"q{j}"])) for i, p in enumerate(stretches) for j in range(20)]
+    keyed = table([*enumerate(texts), *more]).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).collect()
+    two = sorted((r for r in keyed if r.doc_id < 100), key=lambda r: r.k)[-2:]
+    one, other = (r.doc_id for r in two)
+    rows = [(r.doc_id, r.text) for r in keyed if r in two or r.doc_id >= 100 and r.k < two[0].k]
+    assert {(r[0] - 100) // 100 for r in rows if r[0] >= 100} == set(range(4))
+    for parts in (1, 5):
+        found = substring_dedup.find_passages(table(rows).repartition(parts)).collect()
+        got = {frozenset((r.doc_id, r.other_id)): r.matched for r in found}
+        assert got == {frozenset((one, other)): 60}
+
+
+def test_a_common_run_in_a_chain_too_dissimilar_is_found(table):
+    rng = random.Random(22)
+    run, ends = words(rng, 52), [words(rng, 8) for _ in range(2)]
+    rows = [(i, " ".join(ends[0] + words(rng, 40) + run + words(rng, 40) + ends[1])) for i in range(2)]
+    found = substring_dedup.find_passages(table(rows)).collect()
+    assert any(r.matched >= 52 for r in found)
+
+
+def test_runs_are_those_of_the_text():
+    rng = np.random.default_rng(3)
+    counts = np.array([0, 49, 50, 130, 7, 61])
+    hashes = rng.integers(0, 3, counts.sum()).astype(np.uint64)
+    hashes[counts[:4].sum() - 60:counts[:4].sum()] = hashes[counts[:5].sum():][:60]
+    owner, at, token, least = substring_dedup.long_runs(hashes, counts)
+    first = np.cumsum(counts) - counts
+    runs = [tuple(hashes[first[o] + p:first[o] + p + 50]) for o, p in zip(owner, at, strict=True)]
+    assert [(o, p) for o, p in zip(owner, at, strict=True)] == [(o, p) for o, n in enumerate(counts) for p in range(n - 49)]
+    assert len(set(zip(runs, token, least, strict=True))) == len(set(runs)) == len(set(token.tolist())) < len(runs)
+
+
 def test_best_chain_is_found_with_the_tree():
     rng = random.Random(2)
     for _ in range(100):
