@@ -585,7 +585,7 @@ def run_uncommitted_day(spark, sf):
     def load(ds, batch, commit):
         run = new_run(ds)
         run_customers(house, ds, batch, run)
-        run_fact(house, ds, batch_slice(t.rentals(spark, sf), ds).drop("batch_date"), run)
+        run_fact(house, ds, batch_slice(t.stored_rentals(spark, sf), ds).drop("batch_date"), run)
         if commit:
             house.commit(ds, run)
 
@@ -660,7 +660,7 @@ def _kept_states(spark, sf):
         run = new_run(ds)
         run_customers(house, ds, batch, run)
         years = F.year("batch_date").between(first, last)
-        run_fact(house, ds, t.rentals(spark, sf).filter(years).drop("batch_date"), run)
+        run_fact(house, ds, t.stored_rentals(spark, sf).filter(years).drop("batch_date"), run)
         run_indicators(house, ds, run, lambda customers: t.segments_of(customers, sf))
         house.commit(ds, run)
 
