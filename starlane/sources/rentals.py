@@ -63,8 +63,12 @@ def parse_rentals(objects: DataFrame) -> DataFrame:
 
 
 def write_rentals(rentals: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One object per line, in a folder per ``batch_date``; a big day becomes many files."""
+    """One object per line, in a folder per ``batch_date``; a big day becomes many files.
+
+    Compressed, as the names of fields make most of the text: a file is then read by one task, and
+    rebalancing keeps each to what one task should have.
+    """
     (
         rentals.hint("rebalance", "batch_date")
-        .write.mode(mode).partitionBy("batch_date").json(path)
+        .write.mode(mode).partitionBy("batch_date").json(path, compression="gzip")
     )

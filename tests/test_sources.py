@@ -10,7 +10,7 @@ from starlane.schemas import CUSTOMER_DIM, RENTAL
 from starlane.sinks.tables import create_table, create_table_like, truncate_table
 from starlane.sources.customers import read_customers
 from starlane.sources.drift import drift_report, infer_schema
-from starlane.sources.rentals import read_rentals
+from starlane.sources.rentals import read_rentals, write_rentals
 from starlane.sources.slices import batch_slice, dated_path
 from starlane.streaming.load_once import load_once
 
@@ -125,3 +125,15 @@ def test_enclosed_customers(spark, tmp_path):
     (tmp_path / "c.csv").write_text('C1,"Ann ""Al"" Lee",a@x,"1,2"\nC2,"line\nbreak",b@x,3\n')
     read = read_customers(spark, str(tmp_path / "c.csv"), line_breaks=True).orderBy("customer_id").collect()
     assert [tuple(r) for r in read] == [("C1", 'Ann "Al" Lee', "a@x", "1,2"), ("C2", "line\nbreak", "b@x", "3")]
+
+
+def test_written_rentals_are_compressed(spark, tmp_path):
+    many = spark.range(20_000).selectExpr(
+        "cast(id AS string) AS rental_id", "'c' AS customer_id", "named_struct('make', 'A', 'model', 'B', 'year', 1) AS car",
+        "date'2024-01-01' + cast(id % 2 AS int) AS batch_date",
+    )
+    write_rentals(many, str(tmp_path / "files"))
+    written = sum(f.stat().st_size for f in tmp_path.glob("files/*/part-*"))
+    assert written < many.count() * 20
+    back = read_rentals(spark, str(tmp_path / "files"))
+    assert back.select(*many.columns).exceptAll(many).count() == 0 and back.count() == 20_000
