@@ -1,20 +1,5 @@
 """Operators for preparing training corpora; nothing else in the library imports them."""
 
-from __future__ import annotations
+from starlane.session import importable
 
-import os
-from pathlib import Path
-
-from pyspark.sql import SparkSession
-
-
-def importable(spark: SparkSession) -> SparkSession:
-    """Lets Python workers on this machine find the package where the driver found it.
-
-    A cluster's executors get it as they get any library, e.g. by ``--py-files``.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep)
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
-    return spark
+__all__ = ["importable"]

@@ -51,7 +51,8 @@ def parse_rentals(objects: DataFrame) -> DataFrame:
     A field of another type is NULL, and so is a fraction for a whole number. Text that is no
     object, or breaks off, has no fields, as Spark's reader has it.
     """
-    parsed = objects.withColumn("_r", F.from_json(RAW, _relaxed(RENTAL)))
+    # As a generated column it is parsed once; a filter on its fields would parse anew for each.
+    parsed = objects.withColumn("_r", F.explode(F.array(F.from_json(RAW, _relaxed(RENTAL)))))
     car = F.when(F.col("_r.car").isNotNull(), F.struct(
         "_r.car.make", "_r.car.model", _whole(F.col("_r.car.year")).alias("year")
     ))

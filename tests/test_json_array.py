@@ -91,3 +91,11 @@ def test_a_large_array_is_parsed_by_many_tasks(spark, tmp_path, split_at, rows):
     parsed = parse_rentals(objects).select(*names)
     whole = read_rentals(spark, str(tmp_path / "day.json"), multi_line=True).select(*names)
     assert parsed.exceptAll(whole).count() == 0 and whole.count() == parsed.count() == 60_000
+
+
+def test_parts_are_cut_where_they_are_read(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"a": 2}]')
+    plan = read_array_objects(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # Only counts of splits and rests at their borders are brought together, by file.
+    assert exchanges and all("split" not in line for line in exchanges)
