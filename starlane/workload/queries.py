@@ -232,7 +232,7 @@ def _raw_rental():
 def flt_rejected_raw(spark, sf):
     """Rejected rentals with the text they were read from."""
     path = fresh_path(spark, "raw-rentals")
-    _flat(spark, sf).select(_raw_rental().alias("value")).write.text(path)
+    _flat(spark, sf).select(_raw_rental().alias("value")).write.text(path, compression="gzip")
     return R.rejected(parse_rentals(read_objects(spark, path))).select("rental_id", "missing_fields", R.RAW)
 
 

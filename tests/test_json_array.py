@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from starlane.operators.rentals import rejected
 from starlane.schemas import RENTAL
 from starlane.sources.json_array import read_array_objects
 from starlane.sources.rentals import parse_rentals, read_objects, read_rentals
@@ -99,3 +100,10 @@ def test_parts_are_cut_where_they_are_read(spark, tmp_path):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     # Only counts of splits and rests at their borders are brought together, by file.
     assert exchanges and all("split" not in line for line in exchanges)
+
+
+def test_a_text_is_parsed_once_whatever_is_asked_of_its_fields(spark):
+    objects = spark.createDataFrame([('{"rental_id": "r"}',), ("[", )], "raw string")
+    kept = rejected(parse_rentals(objects)).select("rental_id", "missing_fields", "raw")
+    assert kept._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert sorted((r.rental_id or "", r.raw) for r in kept.collect()) == [("", "["), ("r", '{"rental_id": "r"}')]

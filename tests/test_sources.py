@@ -13,6 +13,7 @@ from starlane.sources.drift import drift_report, infer_schema
 from starlane.sources.rentals import read_rentals, write_rentals
 from starlane.sources.slices import batch_slice, dated_path
 from starlane.streaming.load_once import load_once
+from starlane.workload import queries
 
 import pytest
 
@@ -137,3 +138,11 @@ def test_written_rentals_are_compressed(spark, tmp_path):
     assert written < many.count() * 20
     back = read_rentals(spark, str(tmp_path / "files"))
     assert back.select(*many.columns).exceptAll(many).count() == 0 and back.count() == 20_000
+
+
+@pytest.mark.parametrize("name, folder", [("flt_rejected_raw", "raw-rentals")])
+def test_files_that_a_query_makes_are_compressed(spark, tmp_path, monkeypatch, name, folder):
+    monkeypatch.setattr(queries, "fresh_path", lambda spark, name: str(tmp_path / name))
+    queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    files = list((tmp_path / folder).glob("part-*"))
+    assert files and all(f.name.endswith(".gz") for f in files)
