@@ -127,7 +127,7 @@ def src_schema_drift(spark, sf):
         .drop("quantity", "batch_date")
     )
     path = fresh_path(spark, "drifted")
-    drifted.write.json(path)
+    drifted.write.json(path, compression="gzip")
     return drift_report(spark, path, RENTAL)
 
 

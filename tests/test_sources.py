@@ -140,7 +140,7 @@ def test_written_rentals_are_compressed(spark, tmp_path):
     assert back.select(*many.columns).exceptAll(many).count() == 0 and back.count() == 20_000
 
 
-@pytest.mark.parametrize("name, folder", [("flt_rejected_raw", "raw-rentals")])
+@pytest.mark.parametrize("name, folder", [("src_schema_drift", "drifted"), ("flt_rejected_raw", "raw-rentals")])
 def test_files_that_a_query_makes_are_compressed(spark, tmp_path, monkeypatch, name, folder):
     monkeypatch.setattr(queries, "fresh_path", lambda spark, name: str(tmp_path / name))
     queries.QUERIES[name](spark, "/root/testdata/sf0.001")
