@@ -57,15 +57,18 @@ def flatten(rentals: DataFrame) -> DataFrame:
     )
 
 
-def derive(flat: DataFrame) -> DataFrame:
-    """Dates parsed, and the four measures."""
+def dated(flat: DataFrame) -> DataFrame:
+    """Dates parsed."""
+    return flat.withColumns({"start_date": iso_date(F.col("start_date")), "end_date": iso_date(F.col("end_date"))})
+
+
+def with_measures(dated: DataFrame) -> DataFrame:
+    """The four measures; what they come from is narrower, so they are best added behind shuffles."""
     return (
-        flat.withColumns({
-            "start_date": iso_date(F.col("start_date")),
-            "end_date": iso_date(F.col("end_date")),
+        dated.withColumns({
             "total_rental_amount": total_amount(F.col("amount"), F.col("quantity")),
+            "rental_duration_days": days_between(F.col("start_date"), F.col("end_date")),
         })
-        .withColumn("rental_duration_days", days_between(F.col("start_date"), F.col("end_date")))
         .withColumns({
             "average_daily_rental_amount": average_daily_amount(
                 F.col("total_rental_amount"), F.col("rental_duration_days")
@@ -75,6 +78,11 @@ def derive(flat: DataFrame) -> DataFrame:
     )
 
 
+def derive(flat: DataFrame) -> DataFrame:
+    """Dates parsed, and the four measures."""
+    return with_measures(dated(flat))
+
+
 def measured(rentals: DataFrame) -> DataFrame:
     """Raw nested rentals to valid, flat rows with measures."""
     return derive(flatten(valid(rentals)))

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from starlane.operators import lookups
-from starlane.operators.rentals import measured
+from starlane.operators.rentals import dated, flatten, valid, with_measures
 from starlane.schemas import DATED_FACT, RENTALS_FACT
 from starlane.sinks.tables import conform
 
@@ -30,13 +30,13 @@ def build_fact(
 
     ``customer`` is the version rule: ``current``, ``all_versions`` or ``as_of``.
     The car lookup drops rows and comes first. The customer lookup is the one that
-    shuffles at scale; location names are keys by then, and the dates follow
-    because the as-of rule needs them.
+    shuffles at scale; location names are keys by then, and the measures and date keys follow,
+    so that no measure is shuffled and the as-of rule finds its dates.
     """
-    rows = lookups.car_key(measured(rentals), dims["car_dim"])
+    rows = lookups.car_key(dated(flatten(valid(rentals))), dims["car_dim"])
     rows = lookups.location_keys(rows, dims["location_dim"])
     if customer == "as_of" and "spread" not in options:
         options["spread"] = lookups.spread_customers(rentals)
     rows = _customer_key(rows, dims["customer_dim"], customer, **options)
-    rows = lookups.date_keys(rows, dims["date_dim"])
+    rows = lookups.date_keys(with_measures(rows), dims["date_dim"])
     return conform(rows, DATED_FACT if "batch_date" in rentals.columns else RENTALS_FACT)

@@ -7,22 +7,26 @@ from pyspark.sql import DataFrame
 from starlane.functions.dates import batch_day
 
 
-def _by_day(fact: DataFrame, one_day: bool) -> DataFrame:
+def _by_day(fact: DataFrame, together: bool) -> DataFrame:
     # Many days at once: bring each day together, so that not every task writes
     # a file per day. Spark splits a day that is too big for one task.
-    return fact if one_day else fact.hint("rebalance", "batch_date")
+    return fact.hint("rebalance", "batch_date") if together else fact
 
 
 def append_fact(fact: DataFrame, path: str, one_day: bool = False) -> None:
     """Blind append: running a day twice stores it twice."""
-    _by_day(fact, one_day).write.mode("append").partitionBy("batch_date").parquet(path)
+    _by_day(fact, not one_day).write.mode("append").partitionBy("batch_date").parquet(path)
 
 
-def replace_days(fact: DataFrame, path: str, one_day: bool = False) -> None:
-    """Replace the days present in ``fact`` and leave all others: safe to repeat."""
+def replace_days(fact: DataFrame, path: str, one_day: bool = False, together: bool = True) -> None:
+    """Replace the days present in ``fact`` and leave all others: safe to repeat.
+
+    Without ``together`` the rows stay in the tasks that made them, which saves a shuffle and writes up to a
+    file per task and day.
+    """
     (
-        _by_day(fact, one_day).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        _by_day(fact, together and not one_day).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
         .partitionBy("batch_date").parquet(path)
     )
 

@@ -6,14 +6,16 @@ from pyspark.sql import types as T
 
 from samples import GOLDEN, RENTALS, rental
 from starlane.operators import rentals as R
+from starlane.plans.fact import build_fact
 from starlane.schemas import CUSTOMER_DIM, RENTAL
+from starlane.sinks.fact import replace_days
 from starlane.sinks.tables import create_table, create_table_like, truncate_table
 from starlane.sources.customers import read_customers
 from starlane.sources.drift import drift_report, infer_schema
 from starlane.sources.rentals import read_rentals, write_rentals
 from starlane.sources.slices import batch_slice, dated_path
 from starlane.streaming.load_once import load_once
-from starlane.workload import queries
+from starlane.workload import queries, tables
 
 import pytest
 
@@ -146,3 +148,18 @@ def test_files_that_a_query_makes_are_compressed(spark, tmp_path, monkeypatch, n
     queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     files = list((tmp_path / folder).glob("part-*"))
     assert files and all(f.name.endswith(".gz") for f in files)
+
+
+def test_days_are_written_where_their_rows_are(spark, tmp_path):
+    rows = spark.range(0, 60, 1, 3).selectExpr("id", "date'2024-01-01' + cast(id % 2 AS int) AS batch_date")
+    replace_days(rows, str(tmp_path / "fact"), together=False)
+    assert all(len(list((tmp_path / f"fact/batch_date=2024-01-0{d}").glob("part-*"))) == 3 for d in (1, 2))
+    assert spark.read.parquet(str(tmp_path / "fact")).exceptAll(rows).count() == 0
+
+
+def test_no_measure_is_shuffled_for_the_fact(spark):
+    sf = "/root/testdata/sf0.001"
+    plan = build_fact(tables.rentals(spark, sf), tables.dimensions(spark, sf))._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    made = next(i for i, line in enumerate(lines) if "AS average_daily_rental_amount" in line)
+    assert made < next(i for i, line in enumerate(lines) if "Join LeftOuter, (customer_id" in line)
