@@ -350,8 +350,8 @@ def fact_customer_current(spark, sf):
     return lookups.customer_current(_with_car(spark, sf), dim).select(*_VERSIONED)
 
 
-def _as_of(spark, sf, dim, rows=None, **options):
-    spread = lookups.spread_customers(t.rental_customers(spark, sf) if rows is None else rows)
+def _as_of(spark, sf, dim, rows=None, customers=None, **options):
+    spread = lookups.spread_customers(t.rental_customers(spark, sf) if customers is None else customers)
     rows = _with_car(spark, sf) if rows is None else rows
     return lookups.customer_as_of(rows, dim, spread=spread, **options).select(*_VERSIONED)
 
@@ -369,10 +369,14 @@ def fact_customer_as_of_first_open(spark, sf):
 @query
 def fact_customer_as_of_hot(spark, sf):
     """A third of all rentals on one customer, versions straight from the batches, not a stored table."""
+    def hot(order):
+        return F.when(order % 3 == 0, F.lit("4")).otherwise(F.col("customer_id"))
+
     order = F.split_part("rental_id", F.lit("-"), F.lit(1)).cast("long")
-    hot = F.when(order % 3 == 0, F.lit("4")).otherwise(F.col("customer_id"))
     versions = scd2.history(t.snapshots(spark, sf), ("seen_at", "seen_key"))
-    return _as_of(spark, sf, versions, rows=_with_car(spark, sf).withColumn("customer_id", hot))
+    rows = _with_car(spark, sf).withColumn("customer_id", hot(order))
+    customers = t.rental_customers(spark, sf).withColumn("customer_id", hot(F.col("order")))
+    return _as_of(spark, sf, versions, rows, customers)
 
 
 @query

@@ -107,11 +107,12 @@ def stored_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rental_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The customer of each rental, by the two tables it takes."""
+    """The customer of each rental, and its order, by the two tables they take."""
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.when(F.col("l_orderkey") % 97 != 0, F.col("o_custkey").cast("string")).alias("customer_id")
+        F.when(F.col("l_orderkey") % 97 != 0, F.col("o_custkey").cast("string")).alias("customer_id"),
+        F.col("l_orderkey").alias("order"),
     )
 
 

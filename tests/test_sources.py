@@ -163,3 +163,12 @@ def test_no_measure_is_shuffled_for_the_fact(spark):
     lines = plan.splitlines()
     made = next(i for i, line in enumerate(lines) if "AS average_daily_rental_amount" in line)
     assert made < next(i for i, line in enumerate(lines) if "Join LeftOuter, (customer_id" in line)
+
+
+def test_hot_customers_are_counted_without_the_tables_they_do_not_need(spark, monkeypatch):
+    counted = []
+    spread = queries.lookups.spread_customers
+    monkeypatch.setattr(queries.lookups, "spread_customers", lambda rows, *a: counted.append(rows) or spread(rows, *a))
+    queries.QUERIES["fact_customer_as_of_hot"](spark, "/root/testdata/sf0.001")
+    plan = counted[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_custkey" in plan and "s_suppkey" not in plan and "p_partkey" not in plan
