@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starlane.llm.word_ids import slices
+from starlane.llm.word_ids import forget, slices
 
 WINDOW, LEVEL = 48, 3
 BASE = 64 << 10
@@ -263,6 +263,7 @@ def _with_score(rows: DataFrame, model: Model) -> DataFrame:
     first = rows.schema.fields[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in batches:
             for part in slices(batch, 1):
                 texts = [_plain(t or "") for t in part.column(1).to_pylist()]

@@ -118,3 +118,14 @@ def test_cheapest_sequence_first():
 def test_null_id_is_kept(table):
     assert [(r.doc_id, r.n) for r in packing.pack(table([(None, "a"), (None, None)]), WORD).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()] == [(None, 3)]
     assert zlib.crc32(b"") == 0
+
+
+def test_an_encoder_goes_before_work_that_needs_none():
+    import pyarrow as pa
+
+    from starlane.llm import ngram_join, word_ids
+
+    word_ids.encoder(word_ids.read_spec(BYTE), word_ids.byte_level_cuts).pieces(["one", " two"])
+    assert word_ids._encoders
+    list(ngram_join._fresh_sets(iter([pa.record_batch([["one two"]], ["text"])]), 5))
+    assert not word_ids._encoders
