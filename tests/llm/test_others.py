@@ -254,6 +254,41 @@ def test_a_common_run_in_a_chain_too_dissimilar_is_found(table):
     assert any(r.matched >= 52 for r in found)
 
 
+def test_too_few_equal_words_on_a_diagonal_are_not_aligned(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    a, b = (rng.integers(0, 1 << 32, n).astype(np.uint32) for n in (140, 90))
+    at = np.arange(0, 44, 11)
+    for equal in (49, 50):
+        b[10:10 + equal] = a[70:70 + equal]
+        whole = substring_dedup.passage(a, b, at + 70, at + 10)
+        assert substring_dedup.passages(a, b, at + 70, at + 10) == ([whole] if whole else [])
+        assert (whole is None) == (equal < 50)
+    b[59] += 1
+    monkeypatch.setattr(substring_dedup, "align", None)
+    assert substring_dedup.passages(a, b, at + 70, at + 10) == []
+
+
+def test_a_text_travels_once_for_places_near_each_other(table, spark, monkeypatch):
+    rng = random.Random(4)
+    runs = [[f"r{i}x{rng.randrange(9999)}" for _ in range(55)] for i in range(4)]
+    rows = [(i, " ".join(run)) for i, run in enumerate(runs)] + [(9, " ".join(w for run in runs for w in [*run, "gap"]))]
+    sent, in_arrow = [], type(spark.range(0)).mapInArrow
+
+    def counted(frame, *rest):
+        if "spans" in frame.columns:
+            sent.extend(r.doc_id for r in frame.collect())
+        return in_arrow(frame, *rest)
+
+    monkeypatch.setattr(type(spark.range(0)), "mapInArrow", counted)
+    found = substring_dedup.find_passages(table(rows)).collect()
+    assert {(r.other_id, r.start) for r in found if r.doc_id == 9} | {(r.doc_id, r.other_start) for r in found if r.other_id == 9} == {
+        (i, 56 * i) for i in range(4)
+    }
+    assert sorted(sent) == [0, 1, 2, 3, 9]
+
+
 def test_runs_are_those_of_the_text():
     rng = np.random.default_rng(3)
     counts = np.array([0, 49, 50, 130, 7, 61])
