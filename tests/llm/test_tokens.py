@@ -129,3 +129,15 @@ def test_an_encoder_goes_before_work_that_needs_none():
     assert word_ids._encoders
     list(ngram_join._fresh_sets(iter([pa.record_batch([["one two"]], ["text"])]), 5))
     assert not word_ids._encoders
+
+
+def test_a_word_before_a_stop_is_one_piece_with_the_word():
+    import pyarrow as pa
+
+    from starlane.llm import word_ids
+
+    library, text = Tokenizer.from_file(BYTE), "a word. a word, a word it's. 'll. x<|endoftext|>.a.b, \n.c 1. 2,3 é. a..b"
+    coder = word_ids.Encoder(word_ids.read_spec(BYTE), word_ids.byte_level_cuts)
+    ids, _ = coder.texts(pa.array([text]))
+    assert ids.tolist() == ids_of(library, text)
+    assert " word" in coder.known and " word." not in coder.known
