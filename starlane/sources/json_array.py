@@ -11,6 +11,9 @@ A split's parts come to its task in order, so tasks count and cut them where the
 arrays; the text is read three times (counts, objects, rests at the borders of splits) and only
 what crosses a border is shuffled.
 
+A compressed file is one split, unless its codec can part it. How long its text is, its size does
+not tell, so its text is read once more, parted at opening braces.
+
 No backslash stands before a part's border in a way that matters: outside of strings there is
 none, and inside a string the closing brace behind one takes its escape with it.
 """
@@ -32,6 +35,7 @@ from starlane.session import importable
 
 OBJECT = "raw"
 FILE, SPLIT = ["file"], ["file", "split"]
+PACKED = "*.{gz,gzip,bz2,deflate,zst,zstd,lz4,snappy,lzo}"
 TOTALS = "file string, split long, file_size long, parts long, bytes long, quotes long, change_0 long, change_1 long"
 RESTS = "file string, split long, object long, closed boolean, text string"
 
@@ -44,6 +48,12 @@ def _parts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _packed_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """Bytes of the text of each compressed file, one more unless it ends with an opening brace."""
+    files = spark.read.option("lineSep", "{").option("pathGlobFilter", PACKED).text(path)
+    return files.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.sum(F.octet_length("value") + 1).alias("packed_size"))
+
+
 def _stretches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bool, pa.RecordBatch]]:
     """Rows that follow one another in one split, and whether they are its first."""
     last = None
@@ -120,14 +130,17 @@ def _totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row(found)
 
 
-def _split_starts(totals: DataFrame) -> DataFrame:
+def _split_starts(totals: DataFrame, packed: DataFrame) -> DataFrame:
     """How each split begins: inside a string or not, at which depth. One row per split of a file."""
+    totals = totals.join(packed, FILE, "left")
     whole = W.partitionBy(*FILE)
     before = whole.orderBy("split").rowsBetween(W.unboundedPreceding, -1)
     change = F.when(F.col("split_inside") == 0, F.col("change_0")).otherwise(F.col("change_1"))
     # The last part of a file has no brace behind it, unless parts and braces make up all its
     # bytes. Of a file's byte order mark Spark shows nothing, which leaves three bytes out.
-    one_more = F.pmod(F.sum("bytes").over(whole) - F.col("file_size"), F.lit(3)) == 1
+    # A text cannot end with both braces, so with the closing one at its end it has one byte less here.
+    held = F.sum("bytes").over(whole)
+    one_more = F.when(F.col("packed_size").isNull(), F.pmod(held - F.col("file_size"), F.lit(3)) == 1).otherwise(held >= F.col("packed_size"))
     no_border = one_more & (F.col("split") == F.max("split").over(whole))
     return (
         totals.withColumn("split_inside", (F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2).cast("int"))
@@ -209,7 +222,7 @@ def read_array_objects(spark: SparkSession, path: str) -> DataFrame:
     """
     parts = _parts(spark, path)
     # One row per split, so a broadcast leaves the parts where and as they are read.
-    starts = F.broadcast(_split_starts(parts.mapInArrow(_totals, TOTALS)))
+    starts = F.broadcast(_split_starts(parts.mapInArrow(_totals, TOTALS), _packed_sizes(spark, path)))
     known = parts.drop("file_size").join(starts, SPLIT)
     # At most two pieces of a split reach over its borders.
     in_file = W.partitionBy(*FILE).orderBy("split", "object").rowsBetween(W.unboundedPreceding, -1)

@@ -25,7 +25,7 @@ def read_rentals(
 def read_objects(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Column ``raw``: the text of each rental as written, one per line, or with ``multi_line`` of JSON arrays.
 
-    Either way a large file is read by many tasks. Empty lines are none.
+    Either way a large file is read by many tasks, unless it is compressed. Empty lines are none.
     """
     if multi_line:
         return read_array_objects(spark, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +17,7 @@ from starlane.sinks.fact import replace_days
 from starlane.sinks.tables import replace_table
 from starlane.sources.rentals import write_rentals
 
-ROWS_PER_ARRAY = 200_000
+ROWS_PER_ARRAY, PLAIN = 200_000, 16
 CALENDAR = ("1996-01-01", "2001-12-31")
 DAY_1, DAY_2 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
 # The rentals lie in 1995-2001, so the as-of lookups use batches of these days.
@@ -53,8 +53,8 @@ def _stored(
     return spark.read.schema(schema).parquet(path)
 
 
-def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nested rentals with their ``batch_date``."""
+def _rental_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that are rentals, with what their fields are made of."""
     def read(name: str) -> DataFrame:
         return table(spark, sf_dir, name)
 
@@ -68,7 +68,7 @@ def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     # for its part, and only where those are large. Nations are joined last: their keys are narrower.
     customers = read("customer").select("c_custkey", "c_nationkey")
     orders = read("orders").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    lines = (
+    return (
         read("lineitem")
         .join(read("supplier").select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
@@ -76,9 +76,12 @@ def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(pickup, "c_nationkey")
         .join(dropoff, "s_nationkey")
     )
+
+
+def _rental_columns() -> list[Column]:
     start = F.col("o_orderdate").cast("date")
     days = ((F.col("l_orderkey") + 3 * F.col("l_linenumber")) % 15).cast("int")
-    return lines.select(
+    return [
         F.concat_ws(
             "-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")
         ).alias("rental_id"),
@@ -96,7 +99,12 @@ def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").alias("amount"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.trunc(start, "year").alias("batch_date"),
-    )
+    ]
+
+
+def rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested rentals with their ``batch_date``."""
+    return _rental_lines(spark, sf_dir).select(*_rental_columns())
 
 
 def stored_rentals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -266,20 +274,35 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def array_files(spark: SparkSession, sf_dir: str) -> str:
-    """All rentals as files that each hold one JSON array, in a single line."""
-    rows = rentals(spark, sf_dir).drop("batch_date").select(F.to_json(F.struct("*")).alias("value"))
+    """All rentals as files that each hold one JSON array, in a single line.
+
+    Names of fields make most of the text, so files are compressed, and then each is read by one task. One file
+    in ``PLAIN`` is not, and tasks share it.
+    """
     files = table(spark, sf_dir, "lineitem").count() // ROWS_PER_ARRAY + 1
-    by_file = W.partitionBy("file").orderBy("value")
-    marked = rows.withColumn("file", F.pmod(F.xxhash64("value"), F.lit(files))).select(
-        "file", "value", F.row_number().over(by_file).alias("place"), F.lead("value").over(by_file).alias("next")
-    )
-    line = F.concat(
-        F.when(F.col("place") == 1, "[").otherwise(""), "value", F.when(F.col("next").isNull(), "]").otherwise(",")
+    # The file hangs on columns of lines alone, so lines of other files are left out before they are joined.
+    lines = _rental_lines(spark, sf_dir).withColumn(
+        "file", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity"), F.lit(files))
     )
+    by_file = W.partitionBy("file").orderBy("l_orderkey", "l_linenumber")
+
+    def write_some(some: DataFrame, path: str, compression: str) -> None:
+        # What fields are made of is shuffled, not their text. Rows come by file and place; no line break parts them.
+        marked = some.select(
+            "*", F.row_number().over(by_file).alias("place"), F.lead(F.lit(True)).over(by_file).alias("more")
+        )
+        made = marked.select(*_rental_columns(), "file", "place", "more")
+        value = F.to_json(F.struct(*[c for c in made.columns if c not in ("batch_date", "file", "place", "more")]))
+        line = F.concat(
+            F.when(F.col("place") == 1, "[").otherwise(""), value, F.when(F.col("more"), ",").otherwise("]")
+        )
+        ordered = made.sortWithinPartitions("file", "place").select("file", line.alias("value"))
+        ordered.write.mode("append").partitionBy("file").option("lineSep", " ").text(path, compression=compression)
 
     def write(path: str) -> None:
-        # Rows come by file and place; no line break parts them.
-        ordered = marked.select("file", "place", line.alias("value")).repartition("file").sortWithinPartitions("file", "place")
-        ordered.select("file", "value").write.partitionBy("file").option("lineSep", " ").text(path)
+        plain = F.col("file") % PLAIN == 0
+        write_some(lines.filter(plain), path, "none")
+        if files > 1:
+            write_some(lines.filter(~plain), path, "gzip")
 
     return once(spark, sf_dir, "array_files", write)

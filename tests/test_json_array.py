@@ -1,7 +1,10 @@
 """Arrays read in parts against Spark's reader of whole files."""
 
+import bz2
+import gzip
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +13,7 @@ from starlane.operators.rentals import rejected
 from starlane.schemas import RENTAL
 from starlane.sources.json_array import read_array_objects
 from starlane.sources.rentals import parse_rentals, read_objects, read_rentals
+from starlane.workload import tables
 
 STRINGS = ["", "}{", '"}', "\\", '\\"}', "plain", "{[", "é漢}😀", "\n", "[]", "\\\\", "],["]
 
@@ -107,3 +111,35 @@ def test_a_text_is_parsed_once_whatever_is_asked_of_its_fields(spark):
     kept = rejected(parse_rentals(objects)).select("rental_id", "missing_fields", "raw")
     assert kept._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
     assert sorted((r.rental_id or "", r.raw) for r in kept.collect()) == [("", "["), ("r", '{"rental_id": "r"}')]
+
+
+@pytest.mark.parametrize("pack, ending", [(gzip.compress, ".json.gz"), (bz2.compress, ".json.bz2")])
+def test_compressed_arrays(spark, tmp_path, pack, ending):
+    rng = random.Random(5)
+    texts = ["[]", '[{"a": 1}, 5, "x{", {"a": 2}, {"a": "cut} ', '{"a": 1}{"a": 2}', '{"a": 1}{"a": 2}\n', '[{"a": "}', '[{"a": {', "﻿[{}]"]
+    texts += [json.dumps([{"id": i, "v": value(rng)} for i in range(40)], indent=1, ensure_ascii=False) + " " * n for n in range(6)]
+    for folder in ("plain", "packed"):
+        (tmp_path / folder).mkdir()
+    for i, text in enumerate(texts):
+        (tmp_path / "plain" / f"{i}.json").write_text(text)
+        packed = i % 4 != 1  # some plain files stand among packed ones
+        (tmp_path / "packed" / f"{i}{ending if packed else '.json'}").write_bytes(pack(text.encode()) if packed else text.encode())
+    plain, packed = (sorted(r.raw for r in read_array_objects(spark, str(tmp_path / f)).collect()) for f in ("plain", "packed"))
+    assert packed == plain and {'{"a": 2}', '{"a": "cut} ', '{"a": "}', '{"a": {', "{}"} <= set(plain)
+
+
+def test_only_some_array_files_are_plain_and_each_is_an_array(spark, monkeypatch):
+    monkeypatch.setattr(tables, "ROWS_PER_ARRAY", 250)
+    monkeypatch.setattr(tables, "PLAIN", 5)
+    monkeypatch.setattr(tables, "_paths", {})
+    path = tables.array_files(spark, "/root/testdata/sf0.001")
+    files = {f.parent.name: f for f in Path(path).glob("file=*/part-*")}
+    assert len(files) == len(list(Path(path).glob("file=*/part-*"))) > 20
+    ids = []
+    for name, file in files.items():
+        plain = int(name.split("=")[1]) % 5 == 0
+        assert (file.suffix == ".gz") == (not plain)
+        ids += [r["rental_id"] for r in json.loads(file.read_bytes() if plain else gzip.decompress(file.read_bytes()))]
+    assert sorted(ids) == sorted(r.rental_id for r in tables.rentals(spark, "/root/testdata/sf0.001").select("rental_id").collect())
+    read = read_objects(spark, path, multi_line=True)
+    assert sorted(json.loads(r.raw)["rental_id"] for r in read.collect()) == sorted(ids)
