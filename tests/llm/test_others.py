@@ -246,6 +246,61 @@ def test_documents_whose_seeds_all_occur_first_in_others_meet(table):
         assert got == {frozenset((one, other)): 60}
 
 
+@pytest.mark.parametrize("elsewhere, parts, block", [(3, 1, 4096), (3, 5, 4096), (20, 1, 4096), (20, 5, 4)])
+def test_nearly_equal_passages_whose_seeds_all_occur_first_in_others_meet(table, monkeypatch, elsewhere, parts, block):
+    monkeypatch.setattr(substring_dedup, "BLOCK", block)
+    rng = random.Random(31)
+    halves = [words(rng, 32) for _ in range(2)]
+    # No 50 words in a row are equal, and each half stands in documents of smaller keys.
+    texts = [" ".join([*words(rng, 20), *halves[0], f"z{i}", *halves[1], *words(rng, 20)]) for i in range(20)]
+    more = [(100 + 100 * i + j, " ".join([*words(rng, 9), *p, *words(rng, 9)])) for i, p in enumerate(halves) for j in range(90)]
+    keyed = table([*enumerate(texts), *more]).select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k")).collect()
+    two = sorted((r for r in keyed if r.doc_id < 100), key=lambda r: r.k)[-2:]
+    before = [[r for r in keyed if r.doc_id // 100 == i and r.k < two[0].k][:elsewhere] for i in (1, 2)]
+    assert [len(b) for b in before] == [elsewhere] * 2
+    rows = [(r.doc_id, r.text) for r in [*two, *before[0], *before[1]]]
+    found = substring_dedup.find_passages(table(rows).repartition(parts)).collect()
+    assert [({r.doc_id, r.other_id}, r.length, r.matched) for r in found] == [({r.doc_id for r in two}, 65, 64)]
+
+
+def test_texts_that_repeat_themselves_match_along_few_diagonals(table):
+    rng = random.Random(32)
+    line = words(rng, 7)
+    rows = [(i, " ".join(words(rng, 9) + line * n + words(rng, 9))) for i, n in enumerate((60, 40, 90))]
+    found = substring_dedup.find_passages(table(rows)).collect()
+    covered = {i: set() for i in range(3)}
+    for r in found:
+        covered[r.doc_id] |= set(range(r.start, r.start + r.length))
+        covered[r.other_id] |= set(range(r.other_start, r.other_start + r.other_length))
+    assert [len(covered[i]) for i in range(3)] == [420, 280, 630]
+    assert len(found) <= 20
+
+
+def test_all_places_of_a_rare_seed_meet():
+    rng = np.random.default_rng(8)
+    token, key, at = rng.integers(0, 40, 200).astype(np.uint64), rng.integers(0, 9, 200), rng.integers(0, 9000, 200) * 60
+    (k, p, other, q), left = substring_dedup._meeting(token, key, at)
+    places = list(zip(token.tolist(), key.tolist(), at.tolist(), strict=True))
+    rare = {t for t, n in zip(*np.unique(token, return_counts=True), strict=True) if n <= substring_dedup.ALL}
+    want = {(a[1:], b[1:]) for a in places for b in places if a[0] == b[0] and a[0] in rare and a[1] > b[1]}
+    got = set(zip(zip(k.tolist(), p.tolist(), strict=True), zip(other.tolist(), q.tolist(), strict=True), strict=True))
+    assert want <= got and 0 < len(rare) < 40
+    assert set(zip(*(x.tolist() for x in left), strict=True)) == {x for x in places if x[0] not in rare}
+
+
+def test_the_longest_part_of_a_diagonal_is_a_passage():
+    rng = np.random.default_rng(9)
+    for _ in range(200):
+        same = rng.random(120) < rng.choice([0.5, 0.7, 0.74])
+        a = rng.integers(0, 1 << 30, 130).astype(np.uint32)
+        b = np.where(np.concatenate([same, np.zeros(10, bool)]), a, a + 1)
+        sums = np.concatenate([[0], np.cumsum(same)])
+        best = max(j - i for i in range(121) for j in range(i, 121) if 4 * (sums[j] - sums[i]) >= 3 * (j - i))
+        found = substring_dedup._longest(a, b, 0, 0, 120)
+        assert found is None or found[1] - found[0] == best and found[4] == sums[found[1]] - sums[found[0]]
+        assert found is not None or best < 67
+
+
 def test_a_common_run_in_a_chain_too_dissimilar_is_found(table):
     rng = random.Random(22)
     run, ends = words(rng, 52), [words(rng, 8) for _ in range(2)]
