@@ -288,6 +288,38 @@ def test_all_places_of_a_rare_seed_meet():
     assert set(zip(*(x.tolist() for x in left), strict=True)) == {x for x in places if x[0] not in rare}
 
 
+def test_matches_of_a_tile_join_all_that_pass():
+    rng = np.random.default_rng(6)
+    width, n = 2 * substring_dedup.REACH + substring_dedup.K, 60
+    words = rng.integers(1, 256, (n, width)).astype(np.uint8)
+    words[:, substring_dedup.REACH - 8:substring_dedup.REACH + 14] = words[0, substring_dedup.REACH - 8:substring_dedup.REACH + 14]  # one line
+    for i in range(20, n):  # families round three of them, with changes
+        changed = rng.random(width) < 0.15
+        words[i] = np.where(changed, words[i], words[i % 3])
+    words[5, :100], words[7, 150:] = 0, 0  # texts that end early
+    known = np.zeros(n, np.int64)
+    known[rng.choice(n, 15, replace=False)] = 77
+    for blocks in (1, 3):
+        block, links = np.arange(n) % blocks, set()
+        for low in range(blocks):
+            for high in range(low, blocks):
+                here = np.flatnonzero((block == low) | (block == high)) if low != high else np.flatnonzero(block == low)
+                here = here[np.argsort(known[here] != 0, kind="stable")]
+                args = np.full(len(here), low), np.full(len(here), high), block[here], here, here * 10, known[here], words[here]
+                for rows in substring_dedup._tile(*args):
+                    links |= set(zip(rows.column("key").to_pylist(), rows.column("other").to_pylist(), strict=True))
+        pairs = {(i, j) for i in range(n) for j in range(i) if not (known[i] and known[j]) and substring_dedup._passes(words[i], words[j])}
+        assert links <= pairs and len(links) < len(pairs) / 2
+
+        def classes(edges):
+            label = list(range(n))
+            for i, j in [*edges, *((i, j) for i in range(n) for j in range(n) if known[i] and known[j])]:
+                label = [label[j] if x == label[i] else x for x in label]
+            return {frozenset(i for i in range(n) if label[i] == x) for x in label}
+
+        assert classes(links) == classes(pairs) and len(classes(pairs)) > 3
+
+
 def test_the_longest_part_of_a_diagonal_is_a_passage():
     rng = np.random.default_rng(9)
     for _ in range(200):
